@@ -9,7 +9,7 @@ from clipledger.functions.fields import entries
 from clipledger.functions.paths import speech_name, wav_for_engine_clip
 from clipledger.functions.signal import downmix, quantise
 from clipledger.operators.names import sequence_assign
-from clipledger.operators.ordering import keep_first, take_first
+from clipledger.operators.ordering import keep_first
 from clipledger.operators.outcomes import successes
 from clipledger.operators.pending import head_limit, pending_by_key, set_difference
 from clipledger.schema import (
@@ -37,12 +37,13 @@ def sample_entries(outcomes: DataFrame, target: int, done: int, start: int,
                    generated_at: Column | str, *order: str) -> DataFrame:
     """Manifest rows (with index) for the successes still wanted, in order.
 
-    Failures take no number and do not count toward the target.
+    Failures take no number and do not count toward the target.  The number
+    also tells whether a row is within the target, so one ordering does both.
     """
-    wanted = take_first(successes(outcomes), max(target - done, 0), *order)
-    named = sequence_assign(wanted.select("source_file", *[c for c in order if c != "source_file"]),
-                            start, *order)
-    return entries(named.select("index", "filename", "source_file"), REAL, METHOD_SAMPLES,
+    keys = list(dict.fromkeys(["source_file", *order]))
+    named = sequence_assign(successes(outcomes).select(keys), start, *order)
+    wanted = named.where(F.col("index") < start + max(target - done, 0))
+    return entries(wanted.select("index", "filename", "source_file"), REAL, METHOD_SAMPLES,
                    generated_at=generated_at)
 
 
