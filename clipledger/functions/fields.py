@@ -43,17 +43,18 @@ def typed_or_reject(raw: DataFrame) -> DataFrame:
     have = set(raw.columns)
     cells = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in MANIFEST_FIELDS}
     parse = {**{c: parse_double for c in DOUBLE_FIELDS}, **{c: parse_long for c in LONG_FIELDS}}
-    typed = {c: F.coalesce(cells[c], F.lit("")) for c in TEXT_FIELDS}
-    reasons = []
-    for c in DOUBLE_FIELDS + LONG_FIELDS:
-        typed[c] = parse[c](cells[c])
-        reasons.append(F.when(~_missing(cells[c]) & typed[c].isNull(), F.lit(c)))
-    absent = [c for c in REQUIRED_FIELDS if c not in have]
-    first_reason = F.lit(absent[0]) if absent else F.coalesce(*reasons)
     keep = [c for c in raw.columns if c not in MANIFEST_FIELDS]
-    return raw.select(
-        *keep, *[typed[c].alias(c) for c in MANIFEST_FIELDS], first_reason.alias("reject")
+    # Two steps, so that each number is parsed once and only looked at after.
+    typed = raw.select(
+        *keep,
+        *[F.coalesce(cells[c], F.lit("")).alias(c) for c in TEXT_FIELDS],
+        *[parse[c](cells[c]).alias(c) for c in parse],
+        *[_missing(cells[c]).alias(f"__no_{c}") for c in parse],
     )
+    reasons = [F.when(~F.col(f"__no_{c}") & F.col(c).isNull(), F.lit(c)) for c in parse]
+    absent = [c for c in REQUIRED_FIELDS if c not in have]
+    reject = F.lit(absent[0]) if absent else F.coalesce(*reasons)
+    return typed.select(*keep, *MANIFEST_FIELDS, reject.alias("reject"))
 
 
 def accepted(typed: DataFrame) -> DataFrame:

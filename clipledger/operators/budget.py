@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipledger.operators.ordering import SLOT, running
 from clipledger.schema import BUDGET_FLOOR_MS, DEFAULT_CLIP_SECONDS
+from clipledger.session import stored
 
 
 def budget_plan(work: DataFrame, limit_ms: int, *order: str,
@@ -18,29 +19,17 @@ def budget_plan(work: DataFrame, limit_ms: int, *order: str,
     at its first row that would exceed what earlier voices left; the next
     voice goes on unless less than `floor_ms` is left.  Adds used_before_ms.
 
-    One running sum serves all voices, since only the carried amount differs.
+    One running sum, stored once, serves all voices: only the amount that
+    earlier voices used differs.
     """
     if "error" not in work.columns:
         work = work.withColumn("error", F.lit(None).cast("string"))
     cost = F.when(F.col("error").isNull(), F.col("duration_ms")).otherwise(F.lit(0))
-    timed = running(work, ["ord"], list(order), keep_slot=True, __after=("sum", cost)).withColumn(
-        "__before", F.col("__after") - cost)
-
-    # One small aggregate per voice: the voices form a short configured list.
-    turns = [r.ord for r in timed.select("ord").distinct().orderBy("ord").collect()]
-    used, stops = 0, []
-    for turn in turns:
-        if limit_ms - used < floor_ms:
-            break
-        over = F.lit(used) + F.col("__before") + F.col("duration_ms") > limit_ms
-        found = timed.where(F.col("ord") == turn).agg(
-            F.min(F.when(over, F.struct(SLOT, "__before"))).alias("stop"),
-            F.max("__after").alias("total"),
-        ).first()
-        stops.append((turn, found.stop[SLOT] if found.stop else None, used))
-        used += found.stop["__before"] if found.stop else found.total
+    timed = stored(
+        running(work, ["ord"], list(order), keep_slot=True, __after=("sum", cost))
+        .withColumn("__before", F.col("__after") - cost), "timed")
     admitted = work.sparkSession.createDataFrame(
-        stops, "ord bigint, __stop bigint, __carried bigint")
+        _stops(timed, limit_ms, floor_ms), "ord bigint, __stop bigint, __carried bigint")
     return (
         timed.join(F.broadcast(admitted), "ord")
         .where(F.col("__stop").isNull() | (F.col(SLOT) < F.col("__stop")))
@@ -49,6 +38,36 @@ def budget_plan(work: DataFrame, limit_ms: int, *order: str,
     )
 
 
+def _stops(timed: DataFrame, limit_ms: int, floor_ms: int) -> list[tuple]:
+    """(ord, slot of the first row left out or None, used before) of the voices that start.
+
+    The voices are a short configured list, so one row per voice is collected.
+    A voice that fits whole needs no look at its rows, and voices that find
+    the same amount left share one look.
+    """
+    need = F.col("__before") + F.col("duration_ms")
+    voices = timed.groupBy("ord").agg(
+        F.max("__after").alias("total"), F.max(need).alias("peak")).orderBy("ord").collect()
+    used, stops, seen, seen_left = 0, [], {}, None
+    for v in voices:
+        left = limit_ms - used
+        if left < floor_ms:
+            break
+        if v.peak <= left:
+            stops.append((v.ord, None, used))
+            used += v.total
+            continue
+        if left != seen_left:
+            # All rows before the stop fit, so the stop itself has before <= left.
+            over = timed.where(
+                (F.col("ord") >= v.ord) & (F.col("__before") <= left) & (need > left)
+            ).groupBy("ord").agg(F.min(F.struct(SLOT, "__before")).alias("at"))
+            seen, seen_left = {r.ord: r["at"] for r in over.collect()}, left
+        stops.append((v.ord, seen[v.ord][SLOT], used))
+        used += seen[v.ord]["__before"]
+    return stops
+
+
 def budget_used(plan: DataFrame) -> DataFrame:
     return plan.agg(
         F.count_if(F.col("error").isNull()).alias("ok"),

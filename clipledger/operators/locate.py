@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipledger.functions.fields import is_fake, is_real
 from clipledger.functions.paths import basename, parent_name
+from clipledger.operators.skew import lookup_join
 
 # Folders that may hold a real clip, in order of preference.
 REAL_FOLDERS = ["real", "real_tagarela"]
@@ -33,15 +34,16 @@ def locate_files(entries: DataFrame, files: DataFrame) -> DataFrame:
           for d in REAL_FOLDERS],
     )
     by_voice = files.groupBy("name", "parent").agg(F.min("path").alias("voice_path"))
-    fakes = entries.where(is_fake()).join(
-        by_voice,
-        (F.col("filename") == F.col("name")) & (F.col("voice_model") == F.col("parent")), "left",
-    ).select(*entries.columns, "voice_path")
+    fakes = lookup_join(
+        entries.where(is_fake()),
+        by_voice.withColumnsRenamed({"name": "filename", "parent": "voice_model"}),
+        ["filename", "voice_model"], "left").select(*entries.columns, "voice_path")
     rest = entries.where(~is_fake()).withColumn("voice_path", F.lit(None).cast("string"))
     real_path = F.coalesce(*[F.col(f"path_{d}") for d in REAL_FOLDERS], F.col("any_path"))
     other_path = F.coalesce("voice_path", "fake_path", "any_path")
-    return fakes.unionByName(rest).join(by_name, F.col("filename") == F.col("name"), "left").select(
-        *entries.columns, F.when(is_real(), real_path).otherwise(other_path).alias("path"))
+    return lookup_join(
+        fakes.unionByName(rest), by_name.withColumnRenamed("name", "filename"), ["filename"], "left",
+    ).select(*entries.columns, F.when(is_real(), real_path).otherwise(other_path).alias("path"))
 
 
 def carry_over(entries: DataFrame, updated: DataFrame) -> DataFrame:
@@ -74,5 +76,5 @@ def real_fake_pairs(manifest: DataFrame) -> DataFrame:
     reals = manifest.where(is_real()).groupBy("filename").agg(
         F.min("entry_seq").alias("real_seq")).withColumnRenamed("filename", "source_file")
     fakes = manifest.where(is_fake() & (F.col("source_file") != ""))
-    return fakes.join(reals, "source_file", "left").select(
+    return lookup_join(fakes, reals, ["source_file"], "left").select(
         "entry_seq", "filename", "voice_model", "method", "source_file", "real_seq")

@@ -10,6 +10,7 @@ from clipledger.functions.paths import (
     sequence_index, sequence_name, stem, suffix, voice_slug,
 )
 from clipledger.operators.ordering import global_position, running
+from clipledger.operators.skew import lookup_join
 from clipledger.schema import METHOD_SAMPLES
 from clipledger.session import stored
 
@@ -47,9 +48,8 @@ def _above_taken(ranked: DataFrame, first: DataFrame) -> DataFrame:
         F.concat(F.regexp_replace(own, r"(?s)_[1-9][0-9]*$", ""), suffix("filename")).alias("base"),
         suffix("filename").alias("ext"), rung.alias("b"), "first_seq",
     ).where(F.col("b") >= 2)
-    taken = plain.unionByName(numbered).join(bases, ["base", "ext"]).where(
-        F.col("first_seq") < F.col("oldest")).select("base", "ext", "b")
-    taken = stored(taken, "taken")
+    taken = lookup_join(plain.unionByName(numbered), bases, _LADDER, "inner").where(
+        F.col("first_seq") < F.col("oldest")).select(*_LADDER, "b")
     if taken.isEmpty():
         return ranked
     nth = running(taken, _LADDER, ["b"], i=("count", F.lit(1)))
@@ -79,15 +79,15 @@ def _climb(rows: DataFrame, contested: DataFrame) -> DataFrame:
     Rows of one base keep rising rungs in entry order: a row is at least one
     rung above the row before it.  That is rank + running max(rung - rank).
     """
-    bumped = rows.join(contested, "name", "left").withColumn(
+    bumped = lookup_join(rows, contested, ["name"], "left").withColumn(
         "lost", is_fake() & (F.col("entry_seq") > F.col("holder"))
     ).withColumn("rung", F.col("rung") + F.when(F.col("lost"), 1).otherwise(0)).drop("holder")
     bumped = stored(bumped, "bumped")
     bases = bumped.where("lost").select(_LADDER).distinct()
     moving = F.col("rung") > 0
-    crowd = bumped.where(moving).join(bases, _LADDER, "left_semi")
+    crowd = lookup_join(bumped.where(moving), bases, _LADDER, "left_semi")
     rest = bumped.where(~moving).unionByName(
-        bumped.where(moving).join(bases, _LADDER, "left_anti"))
+        lookup_join(bumped.where(moving), bases, _LADDER, "left_anti"))
     ranked = running(crowd, _LADDER, ["entry_seq"], nth=("count", F.lit(1)))
     spread = running(ranked, _LADDER, ["entry_seq"], lead=("max", F.col("rung") - F.col("nth")))
     moved = spread.withColumn("rung", F.col("nth") + F.col("lead"))
@@ -104,19 +104,20 @@ def decollide_names(located: DataFrame) -> DataFrame:
     for it, and rows may ask in any order.  The rungs are set by rank at once;
     rounds are needed only while names of different bases meet.
     """
-    first = located.groupBy("filename").agg(F.min("entry_seq").alias("first_seq"))
     base = F.concat(stem("filename"), F.lit("_"), voice_slug("voice_model"), suffix("filename"))
-    rows = located.select("entry_seq", "filename", "label", "voice_model").withColumns(
-        {"base": base, "ext": suffix("filename")}
-    ).join(first, "filename")
-    late = is_fake() & (F.col("entry_seq") > F.col("first_seq"))
-    columns = ["entry_seq", "filename", "label", "voice_model", "base", "ext", "rung"]
+    rows = running(
+        located.select("entry_seq", "filename", "label", "voice_model"),
+        ["filename"], ["entry_seq"], nth=("count", F.lit(1)),
+    ).withColumns({"base": base, "ext": suffix("filename")})
+    first = rows.where("nth = 1").select("filename", F.col("entry_seq").alias("first_seq"))
+    late = is_fake() & (F.col("nth") > 1)
+    columns = ["entry_seq", "filename", "label", "voice_model", *_LADDER, "rung"]
     kept = rows.where(~late).withColumn("rung", F.lit(0).cast("bigint")).select(columns)
-    ranked = running(rows.where(late).drop("first_seq"), _LADDER, ["entry_seq"],
+    ranked = running(rows.where(late).drop("nth"), _LADDER, ["entry_seq"],
                      rung=("count", F.lit(1))).select(columns)
     state = stored(_named(kept.unionByName(_above_taken(ranked, first))), "names")
     while True:
-        contested = stored(_contested(state), "contested")
+        contested = _contested(state)
         if contested.isEmpty():
             break
         state = stored(_climb(state, contested), "names")

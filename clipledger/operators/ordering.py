@@ -17,7 +17,7 @@ from clipledger.session import stored
 SLOT = "__slot"      # grows along the order; range number above bit 33
 _RANGE = "__range"
 _IN_RANGE = (1 << 33) - 1
-TOP_K_ROWS = 10_000
+TOP_K_ROWS = 1_000   # a top-k sends this many rows per task to one task
 
 
 def _laid_out(df: DataFrame, keys: list[str]) -> DataFrame:

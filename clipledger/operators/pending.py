@@ -8,8 +8,11 @@ from pyspark.sql import Window as W
 
 from clipledger.functions.paths import is_corpus_member, target_path, wav_for_member
 from clipledger.operators.ordering import keep_first, running, take_first
+from clipledger.operators.skew import lookup_join
 from clipledger.schema import METHOD_SPEECH
 
+PUSHED_LIMIT = 100
+
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
@@ -18,10 +21,14 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
 def set_difference(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
     """Rows of `df` whose key is not in `other`; repeated rows of `df` stay.
 
-    The key set is reduced before its shuffle; a hot key on the left is split
-    by the adaptive skew join, which covers left anti joins.
+    The key set is reduced before its shuffle; hot keys of `df` do not shuffle.
     """
-    return df.join(distinct_keys(other, *keys), list(keys), "left_anti")
+    return lookup_join(df, distinct_keys(other, *keys), list(keys), "left_anti")
+
+
+def set_intersection(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
+    """Rows of `df` whose key is in `other`."""
+    return lookup_join(df, distinct_keys(other, *keys), list(keys), "left_semi")
 
 
 def pending_by_output(assigned: DataFrame, outputs: DataFrame, root: str) -> DataFrame:
@@ -31,15 +38,17 @@ def pending_by_output(assigned: DataFrame, outputs: DataFrame, root: str) -> Dat
 
 
 def plan_counts(assigned: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Per voice: assigned, skipped, pending; one join, one aggregate."""
-    done = distinct_keys(outputs, "voice", "filename").withColumn("__done", F.lit(True))
-    return assigned.select("voice", "filename").join(
-        done, ["voice", "filename"], "left"
-    ).groupBy("voice").agg(
-        F.count(F.lit(1)).alias("assigned"),
-        F.count("__done").alias("skipped"),
-        F.count_if(F.col("__done").isNull()).alias("pending"),
-    )
+    """Per voice: assigned, skipped, pending.
+
+    Both sides are reduced to unique (voice, filename) before they meet.
+    """
+    key = ["voice", "filename"]
+    done = distinct_keys(outputs, *key).withColumn("__done", F.lit(True))
+    work = assigned.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    skipped = F.coalesce(F.sum(F.when(F.col("__done"), F.col("__n"))), F.lit(0))
+    return work.join(done, key, "left").groupBy("voice").agg(
+        F.sum("__n").alias("assigned"), skipped.alias("skipped"),
+        (F.sum("__n") - skipped).alias("pending"))
 
 
 def cross_plan_counts(clips: DataFrame, voices: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -71,13 +80,11 @@ def limit_per_voice(pending: DataFrame, limit: int | None, *order: str) -> DataF
         return pending
     if limit < 0:
         raise ValueError("limit must not be negative")
-    pushed = int(pending.sparkSession.conf.get(
-        "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if limit <= pushed:
+    if limit <= PUSHED_LIMIT:
         nth = F.row_number().over(W.partitionBy("voice").orderBy(*order))
         return pending.withColumn("__nth", nth).where(F.col("__nth") <= limit).drop("__nth")
-    # Beyond the threshold the group limit is no longer applied before the
-    # shuffle and a window would pull a whole voice into one task.
+    # Every task sends up to `limit` rows per voice to the voice's one task.
+    # A larger limit is counted range by range instead.
     return running(pending, ["voice"], list(order), __nth=("count", F.lit(1))).where(
         F.col("__nth") <= limit).drop("__nth")
 
@@ -111,9 +118,8 @@ def pending_members(members: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def skipped_members(members: DataFrame, existing: DataFrame) -> DataFrame:
-    return corpus_members(members).join(
-        distinct_keys(existing, "filename").withColumnRenamed("filename", "wav_name"),
-        "wav_name", "left_semi")
+    return set_intersection(corpus_members(members), existing.withColumnRenamed(
+        "filename", "wav_name"), "wav_name")
 
 
 def head_limit(pending: DataFrame, limit: int | None, *order: str) -> DataFrame:

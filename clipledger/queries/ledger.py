@@ -33,9 +33,10 @@ from clipledger.sources.voices import catalogue, parse_voice_spec
 
 def _raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as text rows of a manifest file, some with broken numbers."""
-    k = F.regexp_extract("props", r"(\d+)", 1)
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    k, kind = F.col("k"), F.col("event_type")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "user_id", F.regexp_extract("props", r"(\d+)", 1).alias("k"))
+    return events.select(
         F.format_string("ev_%06d.wav", "event_id").alias("filename"),
         F.when(kind == "view", "fake").otherwise("real").alias("label"),
         kind.alias("method"), F.concat(F.lit("user"), "user_id").alias("voice_model"),
