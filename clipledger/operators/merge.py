@@ -42,7 +42,7 @@ def incoming_entries(clips: DataFrame, converted: DataFrame, method: str,
 def new_entries(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:
     """Offered rows whose (filename, voice_model) is new, first per key."""
     once = keep_first(offered, ["filename", "voice_model"], *order)
-    return set_difference(once, manifest, "filename", "voice_model")
+    return set_difference(once, manifest, "filename", "voice_model", unique=True)
 
 
 def manifest_merge(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:

@@ -91,12 +91,12 @@ def _climb(rows: DataFrame, contested: DataFrame) -> DataFrame:
     ranked = running(crowd, _LADDER, ["entry_seq"], nth=("count", F.lit(1)))
     spread = running(ranked, _LADDER, ["entry_seq"], lead=("max", F.col("rung") - F.col("nth")))
     moved = spread.withColumn("rung", F.col("nth") + F.col("lead"))
-    keep = ["entry_seq", "filename", "label", "voice_model", "base", "ext", "rung"]
+    keep = [c for c in rows.columns if c != "name"]
     return _named(rest.select(keep).unionByName(moved.select(keep)))
 
 
 def decollide_names(located: DataFrame) -> DataFrame:
-    """Final name of each located row: (entry_seq, filename, name, renamed).
+    """Add `name`, the final name of each row, and `renamed`.
 
     In entry order a real keeps its name and so does a fake whose name is
     free; another fake takes the first free of stem_voice.ext,
@@ -105,13 +105,13 @@ def decollide_names(located: DataFrame) -> DataFrame:
     rounds are needed only while names of different bases meet.
     """
     base = F.concat(stem("filename"), F.lit("_"), voice_slug("voice_model"), suffix("filename"))
-    rows = running(
-        located.select("entry_seq", "filename", "label", "voice_model"),
-        ["filename"], ["entry_seq"], nth=("count", F.lit(1)),
-    ).withColumns({"base": base, "ext": suffix("filename")})
+    # Stored, as three reads follow and each would repeat the window.
+    rows = stored(
+        running(located, ["filename"], ["entry_seq"], nth=("count", F.lit(1)))
+        .withColumns({"base": base, "ext": suffix("filename")}), "nth")
     first = rows.where("nth = 1").select("filename", F.col("entry_seq").alias("first_seq"))
     late = is_fake() & (F.col("nth") > 1)
-    columns = ["entry_seq", "filename", "label", "voice_model", *_LADDER, "rung"]
+    columns = [*located.columns, *_LADDER, "rung"]
     kept = rows.where(~late).withColumn("rung", F.lit(0).cast("bigint")).select(columns)
     ranked = running(rows.where(late).drop("nth"), _LADDER, ["entry_seq"],
                      rung=("count", F.lit(1))).select(columns)
@@ -122,9 +122,7 @@ def decollide_names(located: DataFrame) -> DataFrame:
             break
         state = stored(_climb(state, contested), "names")
     return state.select(
-        "entry_seq", "filename", "label", "voice_model", "name",
-        (F.col("name") != F.col("filename")).alias("renamed"),
-    )
+        *located.columns, "name", (F.col("name") != F.col("filename")).alias("renamed"))
 
 
 def flat_path(label_col: str = "label", name_col: str = "name"):

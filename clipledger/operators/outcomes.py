@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipledger.functions.text import retriable
+from clipledger.operators.ordering import global_position
 from clipledger.schema import BACKOFF_SECONDS, MAX_ATTEMPTS
+from clipledger.session import stored
 
 
 def convert_rows(df: DataFrame, convert: Callable[[object, dict], dict], added: T.StructType,
@@ -64,6 +66,26 @@ def error_log(outcomes: DataFrame, at: Column) -> DataFrame:
         F.concat_ws("|", "voice", "filename", "error").alias("line"))
 
 
+def convert_until(work: DataFrame, wanted: int, convert: Callable[[DataFrame], DataFrame],
+                  *order: str) -> DataFrame | None:
+    """Outcomes of the first rows in order that give `wanted` successes.
+
+    As many rows are converted as successes are missing, and again for those
+    that failed; rows after the last success are not touched.  Keep payloads
+    out of `work` and let `convert` fetch them.
+    """
+    placed = global_position(work, *order, name="__pos")
+    total, begin, good, outcomes = placed.count(), 0, 0, None
+    while good < wanted and begin < total:
+        end = begin + wanted - good
+        part = placed.where((F.col("__pos") >= begin) & (F.col("__pos") < end)).drop("__pos")
+        done = stored(convert(part), "converted")
+        outcomes = done if outcomes is None else outcomes.unionByName(done)
+        good += done.where(F.col("error").isNull()).count()
+        begin = end
+    return outcomes
+
+
 def resolve_attempts(attempts: DataFrame, *keys: str) -> DataFrame:
     """State of each file from its attempts (attempt from 1, error or NULL).
 

@@ -18,16 +18,21 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def set_difference(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
+def set_difference(df: DataFrame, other: DataFrame, *keys: str, unique: bool = False) -> DataFrame:
     """Rows of `df` whose key is not in `other`; repeated rows of `df` stay.
 
     The key set is reduced before its shuffle; hot keys of `df` do not shuffle.
+    `unique` says that no key of `df` repeats, so none can be hot.
     """
+    if unique:
+        return df.join(distinct_keys(other, *keys), list(keys), "left_anti")
     return lookup_join(df, distinct_keys(other, *keys), list(keys), "left_anti")
 
 
-def set_intersection(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
+def set_intersection(df: DataFrame, other: DataFrame, *keys: str, unique: bool = False) -> DataFrame:
     """Rows of `df` whose key is in `other`."""
+    if unique:
+        return df.join(distinct_keys(other, *keys), list(keys), "left_semi")
     return lookup_join(df, distinct_keys(other, *keys), list(keys), "left_semi")
 
 
@@ -89,10 +94,11 @@ def limit_per_voice(pending: DataFrame, limit: int | None, *order: str) -> DataF
         F.col("__nth") <= limit).drop("__nth")
 
 
-def pending_by_key(work: DataFrame, manifest: DataFrame, method: str | None = None) -> DataFrame:
+def pending_by_key(work: DataFrame, manifest: DataFrame, method: str | None = None,
+                   unique: bool = False) -> DataFrame:
     """Work whose (filename, voice_model) is not in the manifest, or not under `method`."""
     have = manifest if method is None else manifest.where(F.col("method") == method)
-    return set_difference(work, have, "filename", "voice_model")
+    return set_difference(work, have, "filename", "voice_model", unique=unique)
 
 
 def pending_speech(work: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -114,12 +120,12 @@ def corpus_members(members: DataFrame) -> DataFrame:
 def pending_members(members: DataFrame, existing: DataFrame) -> DataFrame:
     """Members to extract; `existing` holds the names already extracted."""
     return set_difference(corpus_members(members), existing.withColumnRenamed(
-        "filename", "wav_name"), "wav_name")
+        "filename", "wav_name"), "wav_name", unique=True)
 
 
 def skipped_members(members: DataFrame, existing: DataFrame) -> DataFrame:
     return set_intersection(corpus_members(members), existing.withColumnRenamed(
-        "filename", "wav_name"), "wav_name")
+        "filename", "wav_name"), "wav_name", unique=True)
 
 
 def head_limit(pending: DataFrame, limit: int | None, *order: str) -> DataFrame:

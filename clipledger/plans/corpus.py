@@ -29,8 +29,10 @@ def new_samples(samples: DataFrame, stored_sources: DataFrame, *order: str) -> D
     """
     known = F.col("source_file") != ""
     once = keep_first(samples.where(known), ["source_file"], *order)
-    fresh = set_difference(once, stored_sources, "source_file")
-    return fresh.unionByName(samples.where(~known))
+    fresh = set_difference(once, stored_sources, "source_file", unique=True)
+    nameless = samples.where(~known)
+    # A look at one column spares a second read of the payloads.
+    return fresh if nameless.isEmpty() else fresh.unionByName(nameless)
 
 
 def sample_entries(outcomes: DataFrame, target: int, done: int, start: int,
@@ -54,7 +56,7 @@ def engine_entries(clips: DataFrame, manifest: DataFrame) -> DataFrame:
                      F.col("engine").alias("voice_model"), "path"),
         FAKE, METHOD_SPEECH, generated_at=IMPORT_TIME)
     once = keep_first(offered, ["filename", "voice_model"], "path")
-    return pending_by_key(once, manifest)
+    return pending_by_key(once, manifest, unique=True)
 
 
 def speech_plan(sentences: DataFrame, voice_label: str, manifest: DataFrame,

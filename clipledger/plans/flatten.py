@@ -7,14 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.operators.locate import carry_over, locate_files
+from clipledger.operators.locate import locate_files
 from clipledger.operators.names import decollide_names, flat_path
 from clipledger.schema import MANIFEST_FIELDS
 from clipledger.session import stored
 
 
 class FlattenPlan(NamedTuple):
-    moves: DataFrame     # entry_seq, label, path, filepath, old and new name
+    moves: DataFrame     # entry_seq, label, path, filepath, filename, name, renamed
     missing: DataFrame   # entries without a file
     manifest: DataFrame  # the ledger after the move
 
@@ -25,11 +25,10 @@ def flatten_plan(manifest: DataFrame, files: DataFrame) -> FlattenPlan:
         manifest.select("entry_seq", "filename", "label", "voice_model"), files), "located")
     found = located.where(F.col("path").isNotNull())
     missing = located.where(F.col("path").isNull()).drop("path")
-    named = decollide_names(found).withColumn("filepath", flat_path())
-    moves = named.join(found.select("entry_seq", "path"), "entry_seq").select(
-        "entry_seq", "label", "path", "filepath", "filename", "name", "renamed")
-    renamed = manifest.drop("filename", "filepath").join(
-        moves.select("entry_seq", F.col("name").alias("filename"), "filepath"), "entry_seq")
-    columns = ["entry_seq", *MANIFEST_FIELDS]
-    after = renamed.select(columns).unionByName(carry_over(manifest, moves).select(columns))
+    moves = decollide_names(found).withColumn("filepath", flat_path())
+    # Entries that were not located keep their name and path.
+    placed = moves.select("entry_seq", "name", F.col("filepath").alias("placed"))
+    after = manifest.join(placed, "entry_seq", "left").withColumns({
+        "filename": F.coalesce("name", "filename"), "filepath": F.coalesce("placed", "filepath"),
+    }).select("entry_seq", *MANIFEST_FIELDS)
     return FlattenPlan(moves, missing, after)

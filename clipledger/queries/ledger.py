@@ -26,7 +26,7 @@ from clipledger.queries.bindings import (
     table, turns,
 )
 from clipledger.queries.registry import query
-from clipledger.session import new_path
+from clipledger.session import new_path, stored
 from clipledger.sources.tables import manifest_scan, manifest_write
 from clipledger.sources.voices import catalogue, parse_voice_spec
 
@@ -268,8 +268,8 @@ select entry_seq, filename, voice_model from m where filename not in (select nam
 """)
 def carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = manifest(spark, sf_dir)
-    found = locate(m.select("entry_seq", "filename", "label", "voice_model"),
-                   inventory(disk(spark, sf_dir))).where("path is not null")
+    found = stored(locate(m.select("entry_seq", "filename", "label", "voice_model"),
+                          inventory(disk(spark, sf_dir))).where("path is not null"), "found")
     return carried(m, found).select("entry_seq", "filename", "voice_model")
 
 

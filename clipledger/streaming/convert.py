@@ -44,7 +44,7 @@ def convert_batch(batch: DataFrame, store: LedgerStore, outcomes_path: str, run:
         tried = log.where(ours & (F.col("run") == run) & F.col("source_file").isNotNull())
         work = set_difference(
             revoicing_work(keep_first(batch, ["source_file"], "duration_ms"), voice, store.read()),
-            tried, "source_file")
+            tried, "source_file", unique=True)
         done, _, stopped = convert_within(work, limit_ms - state["used"], convert)
         rows = done.withColumn("run", F.lit(run)).select(columns)
         if stopped:
@@ -59,7 +59,7 @@ def register(store: LedgerStore, outcomes: DataFrame, at: Column | None = None)
     ledger = store.read()
     good = outcomes.where(F.col("error").isNull())
     once = keep_first(good, ["voice_model", "source_file"], "filename")
-    lacking = set_difference(once, ledger, "voice_model", "source_file")
+    lacking = set_difference(once, ledger, "voice_model", "source_file", unique=True)
     rows = entries(lacking.select("filename", "voice_model", "source_file"), FAKE,
                    METHOD_REVOICED, generated_at=utc_stamp(at))
     last = ledger.agg(F.max("entry_seq").alias("last")).first()["last"]

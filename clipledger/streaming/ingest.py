@@ -12,6 +12,7 @@ from clipledger.functions.fields import utc_stamp
 from clipledger.functions.paths import sequence_index
 from clipledger.plans.corpus import new_samples, sample_entries
 from clipledger.schema import METHOD_SAMPLES, SAMPLE_TARGET
+from clipledger.session import stored
 from clipledger.sources.store import LedgerStore
 
 
@@ -34,6 +35,8 @@ def ingest_batch(batch: DataFrame, store: LedgerStore, target: int = SAMPLE_TARG
         return
     fresh = new_samples(batch, ledger.where(mine), "source_file")
     outcomes = prepare(fresh) if prepare else fresh.withColumn("error", F.lit(None).cast("string"))
+    # Stored before it is ordered, which reads it twice: `prepare` runs once.
+    outcomes = stored(outcomes.select("source_file", "error"), "outcomes")
     rows = sample_entries(outcomes, target, state["done"], state["start"], utc_stamp(at),
                           "source_file")
     store.append(rows.withColumn(

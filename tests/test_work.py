@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clipledger.operators.assign import assign, assign_cross, assign_stratified
 from clipledger.operators.budget import budget_estimate, budget_plan, budget_used
 from clipledger.operators.outcomes import (
-    convert_rows, error_log, failures, resolve_attempts, successes, with_error,
+    convert_rows, convert_until, error_log, failures, resolve_attempts, successes, with_error,
 )
 from clipledger.operators.pending import (
     cross_plan_counts, first_n_successes, head_limit, limit_per_voice, pending_by_key,
@@ -213,6 +213,24 @@ def test_errors_are_values(spark):
     assert rows(log, "line", "at")[0] == ("v|clip002.wav|broken", "now")
 
 
+@pytest.mark.parametrize("wanted, tried", [(0, 0), (3, 5), (6, 11), (50, 12)])
+def test_convert_until(spark, wanted, tried):
+    """Every other clip fails, so more are tried than wanted, but none too many."""
+    calls = []
+
+    def convert(df):
+        calls.append(df.count())
+        return df.withColumn("error", F.when(F.substring("filename", 7, 1).cast("int") % 2 == 1, "bad"))
+
+    out = convert_until(clip_table(spark, 12), wanted, convert, "filename")
+    assert sum(calls) == tried
+    if wanted:
+        good = successes(out).count()
+        assert good == min(wanted, 6)
+    else:
+        assert out is None
+
+
 def test_with_error(spark):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "x int")
     assert rows(with_error(df, F.col("x") > 0, "small"), "x", "error") == [
