@@ -37,19 +37,24 @@ def assign_cross(clips: DataFrame, voices: DataFrame) -> DataFrame:
 def assign_stratified(clips: DataFrame, voices: DataFrame, *order: str) -> DataFrame:
     """Clip i in order goes to voice i mod N; the shares do not overlap."""
     total = _voice_total(voices)
-    placed = global_position(clips, *(order or ("filename",)))
+    placed = global_position(clips, *order)
     return placed.withColumn("ord", F.col("pos") % total).join(
         broadcast_if_small(voices, total), "ord")
 
 
 def assign(clips: DataFrame, voices: DataFrame, strategy: str = "stratified",
            voice: str | None = None) -> DataFrame:
-    """Naming one voice means all clips for that voice."""
+    """Naming one voice means all clips for that voice.
+
+    Clips are dealt by source_path where they have one: it identifies a clip,
+    while copies in several folders share a filename.
+    """
     if voice is not None:
         one = voices.where(F.col("voice") == voice).withColumn("ord", F.lit(0).cast("bigint"))
         return assign_cross(clips, one)
     if strategy == "cross":
         return assign_cross(clips, voices)
     if strategy == "stratified":
-        return assign_stratified(clips, voices)
+        return assign_stratified(
+            clips, voices, "source_path" if "source_path" in clips.columns else "filename")
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -26,6 +26,7 @@ UNKNOWN_TIME = "unknown"
 IMPORT_TIME = "2026-03-10T00:00:00Z"
 ACCENT = "pt-br"
 ENGINES = ["edge", "google", "gtts", "polly"]
+ENGINE_TREE = "golden_audio"
 SEQUENCE_PREFIX = "tagarela_"
 DEFAULT_CLIP_SECONDS = 10.7
 DEFAULT_CLIP_MS = 10_700

@@ -28,7 +28,7 @@ class _TarReader(DataSourceReader):
         return [_Archive(p) for p in self.paths]
 
     def read(self, partition: _Archive) -> Iterator[tuple]:
-        filesystem, path = arrow_fs.FileSystem.from_uri(_as_uri(partition.path))
+        filesystem, path = arrow_fs.FileSystem.from_uri(as_uri(partition.path))
         with filesystem.open_input_stream(path, compression=None) as raw:
             with tarfile.open(fileobj=raw, mode="r|gz") as tar:
                 for seq, member in enumerate(tar):
@@ -39,8 +39,8 @@ class _TarReader(DataSourceReader):
                     yield partition.path, member.name, seq, member.isfile(), payload
 
 
-def _as_uri(path: str) -> str:
-    return path if "://" in path else f"file://{path}"
+def as_uri(path: str) -> str:
+    return path.replace("s3a://", "s3://") if "://" in path else f"file://{path}"
 
 
 class TarMembers(DataSource):

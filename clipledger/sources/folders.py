@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions.paths import basename, parent_name
-from clipledger.schema import LISTING
+from clipledger.schema import ENGINE_TREE, LISTING
 
 
 def _fs(spark: SparkSession, path: str):
@@ -88,7 +88,7 @@ def disk_inventory(spark: SparkSession, data_root: str) -> DataFrame:
 
 
 def engine_listing(spark: SparkSession, base: str, engines: list[str],
-                   top: str = "golden_audio") -> tuple[DataFrame, list[str]]:
+                   top: str = ENGINE_TREE) -> tuple[DataFrame, list[str]]:
     """(engine, path) of <base>/<engine>/clean/*.mp3, and the engines without a folder."""
     root = f"{base.rstrip('/')}/{top}"
     if not exists(spark, root):

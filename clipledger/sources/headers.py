@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from clipledger.schema import DEFAULT_CLIP_SECONDS
+from clipledger.sources.archives import as_uri
 
 
 def _seconds(path: str) -> float:
     try:
-        uri = path if "://" in path else f"file://{path}"
-        filesystem, name = arrow_fs.FileSystem.from_uri(uri)
+        filesystem, name = arrow_fs.FileSystem.from_uri(as_uri(path))
         with filesystem.open_input_file(name) as raw, wave.open(raw, "rb") as clip:
             return clip.getnframes() / clip.getframerate()
     except Exception:  # noqa: BLE001 - any unreadable header means the default

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     from clipledger.session import build_session, release
 
-    session = build_session("tests", 8)
+    session = build_session("tests", 8, shuffle_partitions=4)
     # Small tables would end up in one range; keep several, as at scale.
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield session

@@ -1,5 +1,6 @@
 """Renaming against the sequential rule, many random corpora in one table."""
 
+import itertools
 import random
 from pathlib import PurePath
 
@@ -13,21 +14,22 @@ from clipledger.operators.names import (
 SCHEMA = "entry_seq bigint, filename string, label string, voice_model string"
 
 
+def wishes(filename, voice):
+    """The names a fake asks for, best first."""
+    own = PurePath(filename)
+    voiced = PurePath(own.stem + "_" + voice.replace(" ", "_") + own.suffix)
+    numbered = (f"{voiced.stem}_{k}{own.suffix}" for k in itertools.count(2))
+    return itertools.chain([filename, voiced.name], numbered)
+
+
 def one_by_one(entries):
-    """The rule as a loop over entries in order."""
-    taken, out = set(), {}
+    """The rule row after row: each takes the best name nobody had before."""
+    final = {}
     for seq, filename, label, voice in sorted(entries):
-        name = filename
-        if label == "fake" and name in taken:
-            p = PurePath(filename)
-            base = f"{p.stem}_{voice.replace(' ', '_')}{p.suffix}"
-            name, i = base, 2
-            while name in taken:
-                name = f"{PurePath(base).stem}_{i}{p.suffix}"
-                i += 1
-        taken.add(name)
-        out[seq] = name
-    return out
+        had = set(final.values())
+        final[seq] = filename if label == "real" else next(
+            n for n in wishes(filename, voice) if n not in had)
+    return final
 
 
 def check(spark, entries):

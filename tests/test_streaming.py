@@ -18,7 +18,7 @@ def noon():
 def write_samples(spark, path, numbers):
     data = [((bytearray(b"x") if i % 5 else None, f"clips/{i:04d}"), "pt-br" if i % 2 else "en")
             for i in numbers]
-    spark.createDataFrame(data, SAMPLES).repartition(4).write.mode("append").parquet(path)
+    spark.createDataFrame(data, SAMPLES).repartition(2).write.mode("append").parquet(path)
 
 
 def decode(df):
@@ -67,7 +67,7 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
 def test_conversion_in_flushes(spark, tmp_path):
     sources = [(f"s{i:03d}.wav", 30_000 + i) for i in range(20)]
     table = spark.createDataFrame(sources, "source_file string, duration_ms bigint")
-    table.repartitionByRange(4, "source_file").sortWithinPartitions("source_file").write.parquet(
+    table.repartitionByRange(2, "source_file").sortWithinPartitions("source_file").write.parquet(
         f"{tmp_path}/in")
     store, log = LedgerStore(spark, f"{tmp_path}/ledger"), f"{tmp_path}/outcomes"
 

@@ -33,9 +33,9 @@ def clip_table(spark, n):
 def test_stratified_is_a_round_robin(spark, clips, voices):
     names = [f"v{i}" for i in range(voices)]
     files = [f"clip{i:03d}.wav" for i in range(clips)]
-    got = rows(assign_stratified(clip_table(spark, clips), voice_table(spark, *names)),
+    got = rows(assign_stratified(clip_table(spark, clips), voice_table(spark, *names), "filename"),
                "voice", "filename")
-    assert got == sorted((n, f) for i, n in enumerate(names) for f in files[i::voices])
+    assert got == sorted((names[i % voices], f) for i, f in enumerate(files))
 
 
 def test_cross_and_one_voice(spark):
