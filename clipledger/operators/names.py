@@ -30,39 +30,48 @@ def _named(rows: DataFrame) -> DataFrame:
     )
 
 
-def _above_taken(ranked: DataFrame, first: DataFrame) -> DataFrame:
-    """Lift the rungs of renamed rows over names that older rows already bear.
+def _taken(claims: DataFrame, ladders: DataFrame) -> DataFrame:
+    """Rungs (base, ext, b) of the ladders whose name an older row bears.
 
-    A corpus flattened before holds `a_v.wav`, `a_v_2.wav`, ... as own names.
-    The j-th renamed row of a base takes the j-th free rung, so with the taken
-    rungs b1 < b2 < ... it moves up by the number of i with b_i - i < j.  Only
-    names older than every row of their base count here.
+    claims: name, holder.  ladders: base, ext, oldest; only holders older than
+    `oldest` count, so the rung is gone for every row from there on.
     """
-    bases = ranked.groupBy("base", "ext").agg(F.min("entry_seq").alias("oldest")).where(
-        F.col("ext") != "")
-    own = stem("filename")
-    rung = F.regexp_extract(own, r"(?s)^.+_([1-9][0-9]*)$", 1).try_cast("bigint")
-    plain = first.select(F.col("filename").alias("base"), suffix("filename").alias("ext"),
-                         F.lit(1).cast("bigint").alias("b"), "first_seq")
-    numbered = first.select(
-        F.concat(F.regexp_replace(own, r"(?s)_[1-9][0-9]*$", ""), suffix("filename")).alias("base"),
-        suffix("filename").alias("ext"), rung.alias("b"), "first_seq",
+    own = stem("name")
+    plain = claims.select(F.col("name").alias("base"), suffix("name").alias("ext"),
+                          F.lit(1).cast("bigint").alias("b"), "holder")
+    numbered = claims.select(
+        F.concat(F.regexp_replace(own, r"(?s)_[1-9][0-9]*$", ""), suffix("name")).alias("base"),
+        suffix("name").alias("ext"),
+        F.regexp_extract(own, r"(?s)^.+_([1-9][0-9]*)$", 1).try_cast("bigint").alias("b"), "holder",
     ).where(F.col("b") >= 2)
-    taken = lookup_join(plain.unionByName(numbered), bases, _LADDER, "inner").where(
-        F.col("first_seq") < F.col("oldest")).select(*_LADDER, "b")
-    if taken.isEmpty():
-        return ranked
-    nth = running(taken, _LADDER, ["b"], i=("count", F.lit(1)))
-    events = ranked.withColumns({
-        "x": F.col("rung"), "is_taken": F.lit(0), "tie": F.col("entry_seq"),
+    # Without an extension the number may replace a part of the voice; such
+    # names are left to the rounds.
+    return lookup_join(
+        plain.unionByName(numbered), ladders.where(F.col("ext") != ""), _LADDER, "inner",
+    ).where(F.col("holder") < F.col("oldest")).select(*_LADDER, "b")
+
+
+def _count_below(rows: DataFrame, column: str, marks: DataFrame, mark: str) -> DataFrame:
+    """Add `below`: how many marks of the row's ladder are less than its `column`."""
+    events = rows.withColumns({
+        "__x": F.col(column), "__mark": F.lit(0), "__tie": F.col("entry_seq"),
     }).unionByName(
-        nth.select(*_LADDER, (F.col("b") - F.col("i")).alias("x"),
-                   F.lit(1).alias("is_taken"), F.col("b").alias("tie")),
-        allowMissingColumns=True,
-    )
-    lifted = running(events, _LADDER, ["x", "is_taken", "tie"], up=("sum", F.col("is_taken")))
-    return lifted.where("is_taken = 0").withColumn("rung", F.col("rung") + F.col("up")).select(
-        ranked.columns)
+        marks.select(*_LADDER, F.col(mark).alias("__x"), F.lit(1).alias("__mark"),
+                     F.col("b").alias("__tie")), allowMissingColumns=True)
+    counted = running(events, _LADDER, ["__x", "__mark", "__tie"], below=("sum", F.col("__mark")))
+    return counted.where("__mark = 0").select(*rows.columns, "below")
+
+
+def _nth_free(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """Turn `rung`, counted among the free rungs, into the rung itself.
+
+    With taken rungs b1 < b2 < ... the j-th free rung is j plus the number of
+    i with b_i - i < j.
+    """
+    gaps = running(taken, _LADDER, ["b"], i=("count", F.lit(1))).withColumn(
+        "gap", F.col("b") - F.col("i"))
+    return _count_below(rows, "rung", gaps, "gap").withColumn(
+        "rung", F.col("rung") + F.col("below")).drop("below")
 
 
 def _contested(rows: DataFrame) -> DataFrame:
@@ -74,25 +83,37 @@ def _contested(rows: DataFrame) -> DataFrame:
 
 
 def _climb(rows: DataFrame, contested: DataFrame) -> DataFrame:
-    """Move each fake that lost its name to the next rung.
+    """Move each fake that lost its name up to a rung it may get.
 
-    Rows of one base keep rising rungs in entry order: a row is at least one
-    rung above the row before it.  That is rank + running max(rung - rank).
+    Rows of one ladder keep rising rungs in entry order.  Among the rungs that
+    are free for all from the oldest loser on, a row is at least one above the
+    row before it: rank + running max(rung - rank).
     """
-    bumped = lookup_join(rows, contested, ["name"], "left").withColumn(
-        "lost", is_fake() & (F.col("entry_seq") > F.col("holder"))
-    ).withColumn("rung", F.col("rung") + F.when(F.col("lost"), 1).otherwise(0)).drop("holder")
-    bumped = stored(bumped, "bumped")
-    bases = bumped.where("lost").select(_LADDER).distinct()
-    moving = F.col("rung") > 0
-    crowd = lookup_join(bumped.where(moving), bases, _LADDER, "left_semi")
-    rest = bumped.where(~moving).unionByName(
-        lookup_join(bumped.where(moving), bases, _LADDER, "left_anti"))
+    lost = is_fake() & F.coalesce(F.col("entry_seq") > F.col("holder"), F.lit(False))
+    bumped = stored(
+        lookup_join(rows, contested, ["name"], "left").withColumn("lost", lost).drop("holder")
+        .withColumn("rung", F.col("rung") + F.col("lost").cast("bigint")), "bumped")
+    ladders = stored(
+        bumped.where("lost").groupBy(_LADDER).agg(F.min("entry_seq").alias("oldest")), "ladders")
+    claims = bumped.groupBy("name").agg(F.min("entry_seq").alias("holder"))
+    taken = stored(_taken(claims, ladders), "taken")
+    keep = [c for c in rows.columns if c != "name"]
+
+    on_ladder = lookup_join(bumped.where("rung > 0"), ladders, _LADDER, "left")
+    concerned = F.coalesce(F.col("entry_seq") >= F.col("oldest"), F.lit(False))
+    rest = bumped.where("rung = 0").select(keep).unionByName(
+        on_ladder.where(~concerned).select(keep))
+    crowd = on_ladder.where(concerned).select(keep)
+    any_taken = not taken.isEmpty()
+    if any_taken:
+        crowd = _count_below(crowd, "rung", taken, "b").withColumn(
+            "rung", F.col("rung") - F.col("below")).drop("below")
     ranked = running(crowd, _LADDER, ["entry_seq"], nth=("count", F.lit(1)))
     spread = running(ranked, _LADDER, ["entry_seq"], lead=("max", F.col("rung") - F.col("nth")))
-    moved = spread.withColumn("rung", F.col("nth") + F.col("lead"))
-    keep = [c for c in rows.columns if c != "name"]
-    return _named(rest.select(keep).unionByName(moved.select(keep)))
+    moved = spread.withColumn("rung", F.col("nth") + F.col("lead")).select(keep)
+    if any_taken:
+        moved = _nth_free(moved, taken)
+    return _named(rest.unionByName(moved.select(keep)))
 
 
 def decollide_names(located: DataFrame) -> DataFrame:
@@ -109,13 +130,18 @@ def decollide_names(located: DataFrame) -> DataFrame:
     rows = stored(
         running(located, ["filename"], ["entry_seq"], nth=("count", F.lit(1)))
         .withColumns({"base": base, "ext": suffix("filename")}), "nth")
-    first = rows.where("nth = 1").select("filename", F.col("entry_seq").alias("first_seq"))
     late = is_fake() & (F.col("nth") > 1)
     columns = [*located.columns, *_LADDER, "rung"]
     kept = rows.where(~late).withColumn("rung", F.lit(0).cast("bigint")).select(columns)
     ranked = running(rows.where(late).drop("nth"), _LADDER, ["entry_seq"],
                      rung=("count", F.lit(1))).select(columns)
-    state = stored(_named(kept.unionByName(_above_taken(ranked, first))), "names")
+    first = rows.where("nth = 1").select(
+        F.col("filename").alias("name"), F.col("entry_seq").alias("holder"))
+    taken = _taken(first, ranked.groupBy(_LADDER).agg(F.min("entry_seq").alias("oldest")))
+    if not taken.isEmpty():
+        # As in a corpus flattened before: a_v.wav, a_v_2.wav, ... are own names.
+        ranked = _nth_free(ranked, stored(taken, "taken"))
+    state = stored(_named(kept.unionByName(ranked)), "names")
     while True:
         contested = _contested(state)
         if contested.isEmpty():

@@ -90,6 +90,33 @@ def test_flattened_before(spark):
     assert want[1000] == "a_v_7.wav" and want[1099] == f"a_v_{399 + 100 - 57}.wav"
 
 
+@pytest.fixture()
+def rounds(monkeypatch):
+    """Counts how often names are contested."""
+    from clipledger.operators import names
+
+    calls, climb = [], names._climb
+    monkeypatch.setattr(names, "_climb", lambda *a: calls.append(1) or climb(*a))
+    return calls
+
+
+def test_found_again_after_flattening(spark, rounds):
+    """An old row comes before hundreds of taken names, new rows after them."""
+    old = [(0, "a.wav", "real", ""), (1, "a.wav", "fake", "v")]
+    taken = [(10 + i, f"a_v_{i}.wav", "fake", "v") for i in range(2, 400) if i % 3]
+    new = [(1000 + i, "a.wav", "fake", "v") for i in range(200)]
+    check(spark, old + taken + new)
+    assert len(rounds) <= 3
+
+
+def test_old_and_new_rows_in_turns(spark, rounds):
+    turns = [(0, "a.wav", "real", "")]
+    for i in range(2, 120):
+        turns += [(2 * i, f"a_v_{i}.wav", "fake", "v"), (2 * i + 1, "a.wav", "fake", "v")]
+    check(spark, turns)
+    assert len(rounds) <= 5
+
+
 @pytest.mark.parametrize("stored, want", [
     ([], 0),
     ([("tagarela_000004.wav", "tagarela"), ("tagarela_000001.wav", "tagarela")], 5),
