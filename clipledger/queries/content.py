@@ -319,7 +319,9 @@ def convert_each_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_rows(docs, _count_words, added, setup=lambda: {"least": 40}).drop("text")
 
 
-_DOCUMENT_FILES = {"pathGlobFilter": "documents.parquet", "recursiveFileLookup": "true"}
+def _document_files(sf_dir: str) -> str:
+    """A pattern, since a stream takes a folder or a pattern but not one file."""
+    return f"{sf_dir}/documents.parquet*"
 
 
 def _documents_schema(spark: SparkSession, sf_dir: str) -> T.StructType:
@@ -343,7 +345,7 @@ def accent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "ingest")
     store = LedgerStore(spark, f"{root}/ledger")
     for run in ("first", "again"):
-        stream = sample_stream(spark, sf_dir, "en", schema, "lang", **_DOCUMENT_FILES).select(
+        stream = sample_stream(spark, _document_files(sf_dir), "en", schema, "lang").select(
             "doc_id", F.concat_ws("/", "source", "doc_id").alias("source_file"))
         ingest_stream(
             stream, store, f"{root}/progress-{run}", target=1 << 60,
@@ -371,8 +373,8 @@ def budget_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc_name("doc_id").alias("source_file"), F.lit("refused").alias("error"))
     root = new_path(spark, "revoicing")
     store = LedgerStore(spark, f"{root}/ledger")
-    sources = spark.readStream.schema(_documents_schema(spark, sf_dir)).options(
-        **_DOCUMENT_FILES).parquet(sf_dir).select(
+    sources = spark.readStream.schema(_documents_schema(spark, sf_dir)).parquet(
+        _document_files(sf_dir)).select(
         doc_name("doc_id").alias("source_file"), F.col("n_chars").alias("duration_ms"))
     convert_stream(
         sources, store, f"{root}/outcomes", f"{root}/progress", "run", "matilda", _STREAM_BUDGET,
