@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from clipledger.llm.common import documents
 from clipledger.llm.exact_dedup import exact_groups
 from clipledger.llm.line_dedup import drop_common_lines
+from clipledger.llm.pieces import encode_decode
+from clipledger.llm.quality_classifier import classify
 from clipledger.llm.quality_rules import apply_rules
 from clipledger.llm.sharding import shard_documents
+from clipledger.llm.simhash import near_duplicates
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,12 +30,36 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify(documents(spark, sf_dir), labels, threshold=0.3).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    if model_path is None:
+        import public_tokenizers
+
+        model_path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(model_path, "rb") as f:   # a tokenizer file of the installation, read on the driver
+        model = f.read()
+    return encode_decode(documents(spark, sf_dir), model).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_sharding, op4_line_dedup, op8_exact_dedup)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_sharding, op4_line_dedup, op5_simhash, op6_quality_classifier, op8_exact_dedup,
+        op9_sentencepiece)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
