@@ -15,6 +15,7 @@ from clipledger.llm.quality_classifier import classify
 from clipledger.llm.quality_rules import apply_rules
 from clipledger.llm.sharding import shard_documents
 from clipledger.llm.simhash import near_duplicates
+from clipledger.llm.substring_dedup import remove_repeats
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=40)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), window=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(documents(spark, sf_dir), min_docs=10).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,7 +64,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_sharding, op4_line_dedup, op5_simhash, op6_quality_classifier, op8_exact_dedup,
+        op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op8_exact_dedup,
         op9_sentencepiece)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
@@ -93,6 +99,28 @@ ORACLES: dict[str, str] = {
                     or 10 * length(regexp_replace(text, '[^!?]', '', 'g')) > word_chars
                     or 2 * length(regexp_replace(text, '[^\p{L}]', '', 'g')) < word_chars) as kept
         from b""",
+    "op3_substring_dedup": r"""
+        with d as (
+            select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+            from documents),
+        win as (
+            select r, id, i, array_to_string(ws[i:i + 19], ' ') as w
+            from (select r, id, ws, unnest(range(1, len(ws) - 18)) as i from d)),
+        again as (
+            select r, i from (
+                select r, i, id, first_value(id) over f as first_id, first_value(i) over f as first_i
+                from win window f as (partition by w order by id, i))
+            where id <> first_id or i <> first_i),
+        gone as (select distinct r, p from (select r, unnest(range(i, i + 20)) as p from again)),
+        word as (
+            select d.r, d.doc_id, p, ws[p] as word from (
+                select r, doc_id, ws, unnest(case when len(ws) = 0 then [0] else range(1, len(ws) + 1) end) as p
+                from d) d)
+        select doc_id, count(*) filter (w.p > 0) as n_words, count(gone.p) as n_removed,
+               sha256(coalesce(string_agg(word, ' ' order by w.p) filter (gone.p is null and w.p > 0), '')) as kept_sha256
+        from word w left join gone on w.r = gone.r and w.p = gone.p
+        group by w.r, doc_id""",
     "op4_line_dedup": rf"""
         with lines as (
             select rowid as r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
