@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -76,7 +77,8 @@ def ask(batches: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]],
     """Answers to the messages of all batches: batch, part, payload.
 
     request(rows, *extra values) yields (part, message) for one batch;
-    answer(messages) gives one reply for each message of a part.
+    answer(messages, in the order of their batches) gives one reply for each
+    message of a part, and may add a summary, which counts as batch -1.
     """
     def send(stream):
         for table in stream:
@@ -87,13 +89,30 @@ def ask(batches: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]],
                      pa.array([m for _, m in sent], pa.binary())], ["batch", "part", "payload"])
 
     def reply(table: pa.Table) -> pa.Table:
-        return pa.table({"batch": table.column("batch"), "part": table.column("part"),
-                         "payload": pa.array(answer(table.column("payload").to_pylist()), pa.binary())})
+        table = table.sort_by("batch")   # not the order of arrival, which another attempt may change
+        replies = answer(table.column("payload").to_pylist())
+        batch = (table.column("batch").to_pylist() + [-1])[: len(replies)]
+        return pa.table({"batch": pa.array(batch, pa.int64()), "payload": pa.array(replies, pa.binary()),
+                         "part": pa.array([table.column("part")[0].as_py()] * len(replies), pa.int32())}).select(
+            ["batch", "part", "payload"])
 
     kind = "batch bigint, part int, payload binary"
     return batches.select("batch", "blob", *extra).mapInArrow(send, kind).groupBy("part").applyInArrow(reply, kind)
 
 
+def inform(batches: DataFrame, answers: DataFrame, name: str) -> DataFrame:
+    """Batches with a further column: the replies to each, by part."""
+    told = answers.groupBy("batch").agg(
+        F.map_from_entries(F.collect_list(F.struct("part", "payload"))).alias(name))
+    return batches.join(told, "batch", "left")
+
+
+def owners(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where the keys of each part begin among sorted 64-bit keys."""
+    part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)   # keeps the order of the keys
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
 def tell(batches: DataFrame, answers: DataFrame, work: Callable[..., pa.Table], schema: str,
          extra: tuple[str, ...] = ()) -> DataFrame:
     """work(rows, {part: reply}, *extra values) for each batch; it may return rows of `schema` or none."""

@@ -38,6 +38,11 @@ def words(text: Column) -> Column:
                   ).otherwise(F.split(bare, SPACE + "+"))
 
 
+def held_out(doc_id: Column, folds: int) -> Column:
+    """Rows that nothing is learned from, one in `folds` by a checksum of the id; null ids too."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(True))
+
+
 def row_key(*columns: Column) -> list[Column]:
     """128 bits that name a row, also where its identifier is null or repeated."""
     return [F.xxhash64(*columns).alias("__k1"), F.xxhash64(F.lit(7), *reversed(columns)).alias("__k2")]

@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipledger.llm.common import held_out
 from clipledger.llm.tokens import SPACE, Spans, chunks, mixed
 
 TRAIN_ROWS = 6_000      # labelled rows that are fitted on, at most
@@ -25,6 +26,7 @@ WIDTH = 16
 STEPS = 36_000          # gradient steps, however few rows there are
 RATE = 0.5
 THRESHOLD = 0.3
+FOLDS = 5               # one in so many rows is held out
 _REPEAT, _END = 0, 1    # buckets of the two special features
 _GRAM = {3: np.uint64(0xA24BAED4963EE407), 4: np.uint64(0x9FB21C651E98DF25)}
 
@@ -93,11 +95,6 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def held_out(doc_id: Column, folds: int = 5) -> Column:
-    """Rows that labels are never learned from; a null id is held out."""
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(True))
-
-
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     """Weights learned from at most `train_rows` labelled rows, chosen by a hash of the id.
 
@@ -105,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> n
     ids count as none.  Without labelled rows all weights are zero.
     """
     chosen = (
-        labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
+        labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"), FOLDS))
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
@@ -147,4 +144,4 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
 
     An empty table gives an empty result; without labels every score is 0.5.
     """
-    return score(docs, train(docs, labels, train_rows), threshold, carry).withColumn("held_out", held_out(F.col("doc_id")))
+    return score(docs, train(docs, labels, train_rows), threshold, carry).withColumn("held_out", held_out(F.col("doc_id"), FOLDS))

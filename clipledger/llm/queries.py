@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipledger.llm.common import documents
 from clipledger.llm.exact_dedup import exact_groups
+from clipledger.llm.katz import score_texts
 from clipledger.llm.line_dedup import drop_common_lines
 from clipledger.llm.pieces import encode_decode
 from clipledger.llm.quality_classifier import classify
@@ -62,10 +63,14 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir), folds=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op8_exact_dedup,
-        op9_sentencepiece)}
+        op9_sentencepiece, op10_lm_scoring)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

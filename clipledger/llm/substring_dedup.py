@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.batches import ask, pack, parts_for, tell
+from clipledger.llm.batches import ask, inform, owners, pack, parts_for, tell
 from clipledger.llm.tokens import Spans, chunks, mixed
 from clipledger.session import stored
 
@@ -136,12 +136,6 @@ def _digest(sums, back, start, end):
     return mixed((sums[end] - sums[start]) * back[start])
 
 
-def _split(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of sorted keys by part, and where each part begins."""
-    part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)   # keeps the order of the keys
-    return part.astype(np.int64), np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-
-
 def _anchor_message(parsed: Parsed):
     """Distinct anchor contexts of a batch in order, which of them repeat in it, and each anchor's place among them."""
     keys, place, counts = np.unique(parsed.context, return_inverse=True, return_counts=True)
@@ -151,7 +145,7 @@ def _anchor_message(parsed: Parsed):
 def _shared_anchors(parsed: Parsed, parts: int, replies: dict[int, bytes]) -> np.ndarray:
     keys, repeats, place = _anchor_message(parsed)
     shared = repeats.copy()
-    bounds = _split(keys, parts)[1]
+    bounds = owners(keys, parts)
     for part, payload in replies.items():
         a, b = bounds[part], bounds[part + 1]
         shared[a:b] |= np.unpackbits(np.frombuffer(payload, np.uint8), count=b - a).astype(bool)
@@ -222,26 +216,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
 
     def ask_anchors(table):
         keys, _, _ = _anchor_message(Parsed(table, window))
-        bounds = _split(keys, parts)[1]
+        bounds = owners(keys, parts)
         for part in np.flatnonzero(np.diff(bounds)).tolist():
             yield part, keys[bounds[part]:bounds[part + 1]].tobytes()
 
     anchors = ask(batches, ask_anchors, _answer_anchors)
-    told = stored(anchors.groupBy("batch").agg(F.map_from_entries(F.collect_list(F.struct("part", "payload"))).alias("told")), "shared-anchors")
-    # A batch's bits: one for each of its anchors, so a hundredth of its text.
-    informed = batches.join(told, "batch", "left")
+    # Some bits for each anchor, so a small part of the text they come from.
+    informed = inform(batches, stored(anchors, "shared-anchors"), "told")
 
     def ask_windows(table, bits):
         parsed = Parsed(table, window)
         _, _, message = _windows_asked(parsed, _shared_anchors(parsed, parts, dict(bits or ())))
-        bounds = _split(message["high"], parts)[1]
+        bounds = owners(message["high"], parts)
         for part in np.flatnonzero(np.diff(bounds)).tolist():
             yield part, message[bounds[part]:bounds[part + 1]].tobytes()
 
     def remove(table, replies, bits):
         parsed = Parsed(table, window)
         at, earlier, message = _windows_asked(parsed, _shared_anchors(parsed, parts, dict(bits or ())))
-        bounds = _split(message["high"], parts)[1]
+        bounds = owners(message["high"], parts)
         elsewhere = np.zeros(len(message), bool)
         for part, payload in replies.items():
             a, b = bounds[part], bounds[part + 1]
