@@ -38,6 +38,11 @@ def words(text: Column) -> Column:
                   ).otherwise(F.split(bare, SPACE + "+"))
 
 
+def carried(columns: tuple[str, ...]) -> Column:
+    """Columns that pass through an operator, in one struct so that no name can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns], F.lit(None).cast("int").alias("__none")).alias("carried")
+
+
 def held_out(doc_id: Column, folds: int) -> Column:
     """Rows that nothing is learned from, one in `folds` by a checksum of the id; null ids too."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(True))

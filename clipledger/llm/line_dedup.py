@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.common import ascii_lower, lookup_counted, row_key, stripped
+from clipledger.llm.common import ascii_lower, carried, lookup_counted, row_key, stripped
 from clipledger.session import stored
 
 
@@ -31,7 +31,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, carry: tuple[str, ...
     gives an empty result.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(None).cast("int").alias("__none")).alias("carried"))
+                       carried(carry))
     keyed = rows.select(*row_key(F.col("doc_id"), F.col("text")),
                         F.transform(F.split("text", "\n"), _line_key).alias("keys"))
     common = stored(
@@ -52,5 +52,4 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, carry: tuple[str, ...
         "doc_id", F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-            F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")).alias("kept_text"),
-        F.col("carried").dropFields("__none").alias("carried") if carry else F.lit(None).alias("carried"))
+            F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")).alias("kept_text"), "carried")

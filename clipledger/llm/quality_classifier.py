@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.common import held_out
+from clipledger.llm.common import carried, held_out
 from clipledger.llm.tokens import SPACE, Spans, chunks, mixed
 
 TRAIN_ROWS = 6_000      # labelled rows that are fitted on, at most
@@ -133,7 +133,7 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, ca
                 [batch.column("doc_id"), batch.column("carried"), pa.array(p),
                  pa.array((p >= threshold).astype(np.int32))], ["doc_id", "carried", "score", "predicted"])
 
-    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("int").alias("none")]).alias("carried"))
+    rows = docs.select("doc_id", "text", carried(carry))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     return rows.mapInArrow(run, f"doc_id {kinds['doc_id']}, carried {kinds['carried']}, score double, predicted int")
 

@@ -11,6 +11,7 @@ from clipledger.llm.common import documents
 from clipledger.llm.exact_dedup import exact_groups
 from clipledger.llm.katz import score_texts
 from clipledger.llm.line_dedup import drop_common_lines
+from clipledger.llm.packing import pack_lengths
 from clipledger.llm.pieces import encode_decode
 from clipledger.llm.quality_classifier import classify
 from clipledger.llm.quality_rules import apply_rules
@@ -38,7 +39,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=3).select(
+        "doc_id", "fingerprint", "component_id")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_lengths(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
@@ -69,8 +75,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op8_exact_dedup,
-        op9_sentencepiece, op10_lm_scoring)}
+        op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op7_packing,
+        op8_exact_dedup, op9_sentencepiece, op10_lm_scoring)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

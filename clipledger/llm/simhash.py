@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.common import lookup_counted, partitions
+from clipledger.llm.common import carried, lookup_counted, partitions
 from clipledger.session import stored
 
 BITS = 64
@@ -51,15 +51,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Per row: doc_id and fp, the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, fp (the 64 bits as a signed long) and the struct `carried`."""
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("carried"), pa.array(fps.view(np.int64))],
+                ["doc_id", "carried", "fp"])
 
-    kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    rows = docs.select("doc_id", "text", carried(carry))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, f"doc_id {kinds['doc_id']}, carried {kinds['carried']}, fp bigint")
 
 
 def planes_of(fps: np.ndarray) -> np.ndarray:
@@ -207,21 +210,23 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """Per row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), stays and `carried`.
 
-    Texts without words have fingerprint zero and link like any other.  Null
-    ids are passed over as component ids unless a component has no other;
-    repeated rows share a fingerprint and so a component.  Other columns are
-    not read; an empty table gives an empty result.
+    Of each component one row stays, one with the smallest id.  Texts without
+    words have fingerprint zero and link like any other.  Null ids count as
+    the largest, so a component_id is null only where all its ids are;
+    repeated rows share a fingerprint and so a component.  Columns outside
+    `carry` are not read; an empty table gives an empty result.
     """
-    prints = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
+    prints = stored(fingerprints(docs, shingle, carry).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
+    distinct = stored(prints.groupBy("fp").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = components(stored(links(distinct.select("fp"), radius), "links"))
     rooted = stored(distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", "n", F.coalesce("root", "fp").alias("root")), "rooted")
-    named = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("fps")), "named")
-    of = stored(lookup_counted(rooted, named, "root", "fps", ["component_id"], F.col("fp")).select(
-        "fp", "n", "component_id"), "of")
-    return lookup_counted(prints, of, "fp", "n", ["component_id"], F.xxhash64("doc_id")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(rooted.groupBy("root").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("fps")), "named")
+    of = stored(lookup_counted(rooted, named, "root", "fps", ["first"], F.col("fp")).select("fp", "n", "first"), "of")
+    return lookup_counted(prints, of, "fp", "n", ["first"], F.xxhash64("row")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"), (F.col("row") == F.col("first.row")).alias("stays"), "carried")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.batches import ask, inform, owners, pack, parts_for, tell
+from clipledger.llm.common import carried
 from clipledger.llm.tokens import Spans, chunks, mixed
 from clipledger.session import stored
 
@@ -198,9 +199,11 @@ def _answer_windows(messages: list[bytes]) -> list[bytes]:
     return [np.packbits(earlier[e - len(r):e]).tobytes() for r, e in zip(rows, ends)]
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = (),
+                   rejoin: bool = True) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (words joined by one space) and the struct `carried`.
 
+    Without `rejoin`, a text that loses nothing also keeps its white space.
     A word goes if a `window`-word sequence over it also starts earlier, in a
     smaller doc_id or before it in the same document.  Null ids count as the
     largest id; rows that repeat an id and its text are the same document, and
@@ -209,7 +212,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     """
     rows = docs.select(
         F.col("doc_id").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("id"), "text",
-        F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("int").alias("none")]).alias("carried"))
+        carried(carry))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     batches = pack(rows, tag="texts")
     parts = parts_for(batches)
@@ -251,7 +254,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
             own = removed[a:a + parsed.counts[i]]
             words = raw.split()
             n_removed.append(int(own.sum()))
-            kept.append(b" ".join([w for w, r in zip(words, own.tolist()) if not r] if n_removed[-1] else words))
+            if n_removed[-1]:
+                words = [w for w, r in zip(words, own.tolist()) if not r]
+            kept.append(b" ".join(words) if rejoin or n_removed[-1] else raw)
         return pa.table({
             "doc_id": table.column("doc_id"), "n_words": pa.array(parsed.counts, pa.int64()),
             "n_removed": pa.array(n_removed, pa.int64()),
