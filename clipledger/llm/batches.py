@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from clipledger.session import stored
 
-BATCH_BYTES = 12 << 20   # text in a batch; a longer text has one of its own
+BATCH_BYTES = 8 << 20    # text in a batch; a longer text has one of its own
 PART_BYTES = 16 << 20    # text whose keys one part owns, on average
 
 

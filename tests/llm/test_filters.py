@@ -1,0 +1,98 @@
+"""Quality rules, line dedup and the classifier."""
+
+import random
+from collections import Counter
+
+import pytest
+from brute import lower, same, words
+
+from clipledger.llm.line_dedup import drop_common_lines
+from clipledger.llm.quality_classifier import classify, fit, score
+from clipledger.llm.quality_rules import apply_rules, cascade_order, default_rules, measures
+
+
+def _measures(text):
+    ws = words(text)
+    windows = Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
+    covered = {i + k for i in range(len(ws) - 4) if windows[tuple(ws[i:i + 5])] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    return (len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered))
+
+
+def test_measures_and_base_rule(docs, rows):
+    expected = []
+    for r in rows:
+        m = _measures(r[1])
+        expected.append((r[0], *m, m[0] < 10 or 100 * m[4] > 20 * m[0]))
+    same(apply_rules(docs), expected, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+         "base_failed")
+
+
+def test_rule_order_changes_no_verdict(docs):
+    rules = default_rules()
+    one = apply_rules(docs, rules)
+    other = apply_rules(docs, rules[::-1], sample_rows=3)
+    assert sorted(map(str, one.select("doc_id", "kept").collect())) == sorted(map(str, other.select("doc_id", "kept").collect()))
+    assert one.where("base_failed and kept").count() == 0
+    assert {r.name for r in cascade_order(measures(docs), rules)} == {r.name for r in rules}
+
+
+def test_rules_tell_junk_from_prose(spark):
+    prose = "Some plain words of an ordinary sentence, that goes on for a while. "
+    texts = [prose * 1 + " And then another one ends it here.", " ".join(f"word{i}###" for i in range(30)),
+             " ".join(f"LOUD{chr(65 + i)}!!" for i in range(20)), "\n".join(["same old line of text here"] * 9)]
+    found = {r["doc_id"]: r["kept"] for r in apply_rules(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert found == {0: True, 1: False, 2: False, 3: False}
+
+
+@pytest.mark.parametrize("least", [2, 10])
+def test_common_lines(docs, rows, least):
+    key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
+    seen = Counter(k for r in rows for k in {key(x) for x in (r[1] or "").split("\n")} if k)
+    expected = []
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        kept = [x for x in lines if seen[key(x)] < least]
+        expected.append((r[0], len(lines), len(lines) - len(kept), "\n".join(kept), r[3]))
+    same(drop_common_lines(docs, least, carry=("source",)), expected, "doc_id", "n_lines", "n_dropped", "kept_text",
+         "carried.source")
+
+
+def test_classifier_learns_on_the_other_folds_only(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(400):
+        good = rng.random() < 0.7
+        ws = [rng.choice(["thena", "onder", "rething", "ally"]) + rng.choice(["s", "ed", ""]) for _ in range(40)]
+        rows.append((i, " ".join(w if good else w + "$$$" for w in ws)))
+        labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    truth = {i: q for i, q, _ in labels}
+    table = lambda x: spark.createDataFrame(x, "doc_id bigint, quality int, toxic int")
+    found = classify(docs, table(labels)).collect()
+    held = [r for r in found if r["held_out"]]
+    assert 40 < len(held) < 120 and all(r["predicted"] == truth[r["doc_id"]] for r in held)
+    assert all(0 <= r["score"] <= 1 for r in found)
+    # Other labels on the held-out rows change nothing.
+    out = {r["doc_id"] for r in held}
+    turned = [(i, 1 - q if i in out else q, 0) for i, q, _ in labels]
+    again = classify(docs, table(turned)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
+def test_classifier_edges(spark, docs, rows, none):
+    labels = spark.createDataFrame([(r[0], i % 2, None) for i, r in enumerate(rows)] + [(None, 1, 1), (3, None, 0)],
+                                   "doc_id bigint, quality int, toxic int")
+    found = classify(docs, labels, carry=("text", "n_chars")).collect()
+    assert len(found) == len(rows) and all(0 < r["score"] < 1 for r in found)
+    assert {r["held_out"] for r in found if r["doc_id"] is None} == {True}
+    assert len({r["score"] for r in found if not words(r["carried"]["text"])}) == 1
+    assert classify(none, labels).count() == 0
+    assert {r["score"] for r in classify(docs, labels.limit(0)).collect()} == {0.5}
+    assert score(docs, fit([], [])).count() == len(rows)
+
+
+def test_empty_tables(none):
+    assert apply_rules(none).count() == 0
+    assert drop_common_lines(none).count() == 0
