@@ -126,8 +126,9 @@ def entries(rows: DataFrame, label: str, method: Column | str, params: dict | No
 
 
 def is_real() -> Column:
-    return F.col("label") == REAL
+    """Never NULL: a row without a label is not real."""
+    return F.coalesce(F.col("label") == REAL, F.lit(False))
 
 
 def is_fake() -> Column:
-    return F.col("label") == FAKE
+    return F.coalesce(F.col("label") == FAKE, F.lit(False))

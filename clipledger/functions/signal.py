@@ -45,26 +45,50 @@ def centre_clip(signal: Column, rate: int, window_ms: int = CLIP_WINDOW_MS) -> C
     return F.slice(signal, sample(start_ms) + 1, sample(end_ms) - sample(start_ms))
 
 
-def _le(content: Column, at: int, size: int) -> Column:
+# Fixed value: the identifier of PCM in an extensible format chunk.
+_PCM_SUBFORMAT = "0100000000001000800000AA00389B71"
+
+
+def _le(content: Column, at: Column, size: int) -> Column:
     """Little-endian unsigned integer of `size` bytes at 0-based offset `at`."""
-    digits = [F.substring(F.hex(F.substring(content, at + 1 + i, 1)), 1, 2) for i in range(size)]
+    digits = [F.substring(F.hex(F.substring(content, (at + 1 + i).cast("int"), 1)), 1, 2) for i in range(size)]
     return F.conv(F.concat(*reversed(digits)), 16, 10).try_cast("bigint")
 
 
 def riff_seconds(content: Column) -> Column:
-    """Seconds of a canonical 44-byte-header PCM file; NULL if it is not one."""
-    header = F.substring(content, 1, 44)
-
-    def mark(at: int, text: str) -> Column:
-        return F.hex(F.substring(header, at + 1, 4)) == text.encode().hex().upper()
-
-    frame_bytes = _le(header, 32, 2)
-    frames = F.floor(F.try_divide(_le(header, 40, 4), frame_bytes))
-    is_pcm = (
-        mark(0, "RIFF") & mark(8, "WAVE") & mark(12, "fmt ") & mark(36, "data")
-        & (_le(header, 20, 2) == 1)
-    )
-    return F.when(is_pcm, F.try_divide(frames, _le(header, 24, 4)))
+    """Seconds of a PCM file by its chunks; NULL if it is not one.
+
+    Chunks before the samples are stepped over, each padded to an even size;
+    the format chunk has to come first, as plain or extensible PCM.  `content`
+    need not reach beyond the head of the data chunk.
+    """
+    def mark(at: Column, text: str) -> Column:
+        return F.hex(F.substring(content, (at + 1).cast("int"), 4)) == text.encode().hex().upper()
+
+    def walked(state: Column, _: Column) -> Column:
+        at = state["at"]
+        size = _le(content, at + 4, 4)
+        inside = at + 8 <= F.octet_length(content)
+        is_format, is_data = inside & mark(at, "fmt "), inside & mark(at, "data")
+        tag = _le(content, at + 8, 2)
+        # Fixed value: the extensible tag, and the PCM subformat behind it.
+        extensible = (tag == 0xFFFE) & (F.hex(F.substring(content, (at + 33).cast("int"), 16)) == _PCM_SUBFORMAT)
+        frame = _le(content, at + 10, 2) * F.floor((_le(content, at + 22, 2) + 7) / 8)
+        return F.when(state["done"], state).otherwise(F.struct(
+            (at + 8 + size + size % 2).alias("at"), (~inside | is_data | size.isNull()).alias("done"),
+            F.when(is_format, _le(content, at + 12, 4)).otherwise(state["rate"]).alias("rate"),
+            F.when(is_format, F.when((tag == 1) | extensible, frame)).otherwise(state["frame"]).alias("frame"),
+            F.when(is_data, size).alias("data")))
+
+    long = "bigint"
+    start = F.struct(F.lit(12).cast(long).alias("at"), F.lit(False).alias("done"), F.lit(None).cast(long).alias("rate"),
+                     F.lit(None).cast(long).alias("frame"), F.lit(None).cast(long).alias("data"))
+    # A chunk has eight bytes at least, so no file has more chunks than these steps.
+    steps = F.sequence(F.lit(1), F.greatest(F.floor(F.octet_length(content) / 8).cast("int"), F.lit(1)))
+    end = F.aggregate(steps, start, walked)
+    seconds = F.try_divide(F.floor(F.try_divide(end["data"], end["frame"])), end["rate"])
+    riff = mark(F.lit(0), "RIFF") & mark(F.lit(8), "WAVE")
+    return F.when(riff, seconds)
 
 
 def seconds_or_default(seconds: Column) -> Column:

@@ -22,6 +22,12 @@ def _voice_total(voices: DataFrame) -> int:
     return total
 
 
+def _in_turn(voices: DataFrame) -> DataFrame:
+    """Voices with `ord` 0 ... N-1 in the order of the `ord` they came with."""
+    return global_position(voices, "ord", "voice", name="__turn").drop("ord").withColumnRenamed(
+        "__turn", "ord")
+
+
 def assign_cross(clips: DataFrame, voices: DataFrame) -> DataFrame:
     """Every voice for every clip: voices N x clips M rows, as the strategy says.
 
@@ -31,7 +37,7 @@ def assign_cross(clips: DataFrame, voices: DataFrame) -> DataFrame:
     total = _voice_total(voices)
     fanned = clips.withColumn("ord", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                           F.lit(total - 1).cast("bigint"))))
-    return fanned.join(broadcast_if_small(voices, total), "ord")
+    return fanned.join(broadcast_if_small(_in_turn(voices), total), "ord")
 
 
 def assign_stratified(clips: DataFrame, voices: DataFrame, *order: str) -> DataFrame:
@@ -39,7 +45,7 @@ def assign_stratified(clips: DataFrame, voices: DataFrame, *order: str) -> DataF
     total = _voice_total(voices)
     placed = global_position(clips, *order)
     return placed.withColumn("ord", F.col("pos") % total).join(
-        broadcast_if_small(voices, total), "ord")
+        broadcast_if_small(_in_turn(voices), total), "ord")
 
 
 def assign(clips: DataFrame, voices: DataFrame, strategy: str = "stratified",

@@ -9,6 +9,8 @@ from clipledger.operators.ordering import SLOT, running
 from clipledger.schema import BUDGET_FLOOR_MS, DEFAULT_CLIP_SECONDS
 from clipledger.session import stored
 
+MOST_VOICES = 1_000_000   # voices whose stops may be broadcast: some 24 MB
+
 
 def budget_plan(work: DataFrame, limit_ms: int, *order: str,
                 floor_ms: int = BUDGET_FLOOR_MS) -> DataFrame:
@@ -41,14 +43,17 @@ def budget_plan(work: DataFrame, limit_ms: int, *order: str,
 def _stops(timed: DataFrame, limit_ms: int, floor_ms: int) -> list[tuple]:
     """(ord, slot of the first row left out or None, used before) of the voices that start.
 
-    The voices are a short configured list, so one row per voice is collected.
-    A voice that fits whole needs no look at its rows, and voices that find
-    the same amount left share one look.
+    Three jobs, however many voices stop.  The first voice that stops is
+    looked up by itself.  It leaves less than the clip it refused, so later
+    voices can only stop among the rows that come before as little has been
+    used; their distinct (used before, length) are collected in one look.
     """
     need = F.col("__before") + F.col("duration_ms")
     voices = timed.groupBy("ord").agg(
-        F.max("__after").alias("total"), F.max(need).alias("peak")).orderBy("ord").collect()
-    used, stops, seen, seen_left = 0, [], {}, None
+        F.max("__after").alias("total"), F.max(need).alias("peak")).orderBy("ord").limit(MOST_VOICES + 1).collect()
+    if len(voices) > MOST_VOICES:
+        raise ValueError(f"a budget is shared by at most {MOST_VOICES} voices")
+    used, stops, near = 0, [], None
     for v in voices:
         left = limit_ms - used
         if left < floor_ms:
@@ -57,17 +62,33 @@ def _stops(timed: DataFrame, limit_ms: int, floor_ms: int) -> list[tuple]:
             stops.append((v.ord, None, used))
             used += v.total
             continue
-        if left != seen_left:
-            # All rows before the stop fit, so the stop itself has before <= left.
-            over = timed.where(
-                (F.col("ord") >= v.ord) & (F.col("__before") <= left) & (need > left)
-            ).groupBy("ord").agg(F.min(F.struct(SLOT, "__before")).alias("at"))
-            seen, seen_left = {r.ord: r["at"] for r in over.collect()}, left
-        stops.append((v.ord, seen[v.ord][SLOT], used))
-        used += seen[v.ord]["__before"]
+        # All rows before the stop fit, so the stop itself has before <= left.
+        if near is None:
+            at = timed.where((F.col("ord") == v.ord) & (need > left)).agg(
+                F.min(F.struct(SLOT, "__before")).alias("at")).first()["at"]
+            stops.append((v.ord, at[SLOT], used))
+            used += at["__before"]
+            near = _first_rows(timed, v.ord, limit_ms - used)
+            continue
+        slot, before = next((s, b) for s, b, ms in near[v.ord] if b + ms > left)
+        stops.append((v.ord, slot, used))
+        used += before
     return stops
 
 
+def _first_rows(timed: DataFrame, after: int, left_ms: int) -> dict[int, list[tuple]]:
+    """For each voice behind `after`: (slot, used before, length) of its rows that start within `left_ms`.
+
+    Of rows with the same amounts, as failures have, the first.
+    """
+    found = timed.where((F.col("ord") > after) & (F.col("__before") <= left_ms)).groupBy(
+        "ord", "__before", "duration_ms").agg(F.min(SLOT).alias(SLOT)).collect()
+    near: dict[int, list[tuple]] = {}
+    for r in found:
+        near.setdefault(r.ord, []).append((r[SLOT], r["__before"], r.duration_ms))
+    return {o: sorted(rows) for o, rows in near.items()}
+
+
 def budget_used(plan: DataFrame) -> DataFrame:
     return plan.agg(
         F.count_if(F.col("error").isNull()).alias("ok"),

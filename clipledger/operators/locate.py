@@ -22,27 +22,28 @@ def inventory(listing: DataFrame) -> DataFrame:
 def locate_files(entries: DataFrame, files: DataFrame) -> DataFrame:
     """Add `path` (NULL if there is none): the best file for each entry.
 
-    Real: real/, then real_tagarela/, then any.  Fake: the voice's folder,
-    then any path containing "fake", then any.  The smallest path wins a tie.
-    The inventory is reduced to one row per key before it meets the entries,
-    so a name shared by many files and entries makes no pairs.
+    Real: real/, then real_tagarela/, then any.  All other labels, and none:
+    the voice's folder, then any path containing "fake", then any.  The
+    smallest path wins a tie.  The inventory is reduced to one row per key
+    before it meets the entries, so a name shared by many files and entries
+    makes no pairs.
     """
-    by_name = files.groupBy("name").agg(
-        F.min("path").alias("any_path"),
-        F.min(F.when(F.col("path").contains("fake"), F.col("path"))).alias("fake_path"),
-        *[F.min(F.when(F.col("parent") == d, F.col("path"))).alias(f"path_{d}")
+    by_voice = files.groupBy("name", "parent").agg(
+        F.min("path").alias("voice_path"),
+        F.min(F.when(F.col("path").contains("fake"), F.col("path"))).alias("fake_path"))
+    by_name = by_voice.groupBy("name").agg(
+        F.min("voice_path").alias("any_path"), F.min("fake_path").alias("fake_path"),
+        *[F.min(F.when(F.col("parent") == d, F.col("voice_path"))).alias(f"path_{d}")
           for d in REAL_FOLDERS],
     )
-    by_voice = files.groupBy("name", "parent").agg(F.min("path").alias("voice_path"))
-    fakes = lookup_join(
-        entries.where(is_fake()),
-        by_voice.withColumnsRenamed({"name": "filename", "parent": "voice_model"}),
+    voiced = lookup_join(
+        entries, by_voice.select(F.col("name").alias("filename"), F.col("parent").alias("voice_model"),
+                                 "voice_path"),
         ["filename", "voice_model"], "left").select(*entries.columns, "voice_path")
-    rest = entries.where(~is_fake()).withColumn("voice_path", F.lit(None).cast("string"))
     real_path = F.coalesce(*[F.col(f"path_{d}") for d in REAL_FOLDERS], F.col("any_path"))
     other_path = F.coalesce("voice_path", "fake_path", "any_path")
     return lookup_join(
-        fakes.unionByName(rest), by_name.withColumnRenamed("name", "filename"), ["filename"], "left",
+        voiced, by_name.withColumnRenamed("name", "filename"), ["filename"], "left",
     ).select(*entries.columns, F.when(is_real(), real_path).otherwise(other_path).alias("path"))
 
 

@@ -40,16 +40,28 @@ def incoming_entries(clips: DataFrame, converted: DataFrame, method: str,
 
 
 def new_entries(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:
-    """Offered rows whose (filename, voice_model) is new, first per key."""
-    once = keep_first(offered, ["filename", "voice_model"], *order)
-    return set_difference(once, manifest, "filename", "voice_model", unique=True)
+    """Offered rows whose (filename, voice_model) is new, first per key.
 
+    A NULL in the key is a blank, on either side.
+    """
+    key = ["filename", "voice_model"]
 
-def manifest_merge(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:
-    """The ledger with the new rows numbered after its last; nothing is updated."""
+    def blank(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.coalesce(c, F.lit("")) for c in key})
+
+    once = keep_first(blank(offered), key, *order)
+    return set_difference(once, blank(manifest), *key, unique=True)
+
+
+def merge_rows(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:
+    """Only the new rows, numbered after the ledger's last: what a store has to append."""
     last = manifest.agg(F.max("entry_seq").alias("last")).first()["last"]
     fresh = global_position(
         new_entries(manifest, offered, *order), *order, "filename", "voice_model",
         name="entry_seq", start=0 if last is None else last + 1)
-    columns = ["entry_seq", *MANIFEST_FIELDS]
-    return append_union(manifest.select(columns), fresh.select(columns))
+    return fresh.select("entry_seq", *MANIFEST_FIELDS)
+
+
+def manifest_merge(manifest: DataFrame, offered: DataFrame, *order: str) -> DataFrame:
+    """The ledger with the new rows behind it; nothing is updated."""
+    return append_union(manifest.select("entry_seq", *MANIFEST_FIELDS), merge_rows(manifest, offered, *order))

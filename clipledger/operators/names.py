@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.functions.fields import is_fake, is_real
+from clipledger.functions.fields import is_real
 from clipledger.functions.paths import (
     sequence_index, sequence_name, stem, suffix, voice_slug,
 )
@@ -75,21 +75,21 @@ def _nth_free(rows: DataFrame, taken: DataFrame) -> DataFrame:
 
 
 def _contested(rows: DataFrame) -> DataFrame:
-    """Names that some fake bears although an older row bears them too."""
+    """Names that some row that is not real bears although an older row bears them too."""
     return rows.groupBy("name").agg(
         F.min("entry_seq").alias("holder"),
-        F.max(F.when(is_fake(), F.col("entry_seq"))).alias("last_fake"),
+        F.max(F.when(~is_real(), F.col("entry_seq"))).alias("last_fake"),
     ).where(F.col("last_fake") > F.col("holder")).select("name", "holder")
 
 
 def _climb(rows: DataFrame, contested: DataFrame) -> DataFrame:
-    """Move each fake that lost its name up to a rung it may get.
+    """Move each row that lost its name up to a rung it may get.
 
     Rows of one ladder keep rising rungs in entry order.  Among the rungs that
     are free for all from the oldest loser on, a row is at least one above the
     row before it: rank + running max(rung - rank).
     """
-    lost = is_fake() & F.coalesce(F.col("entry_seq") > F.col("holder"), F.lit(False))
+    lost = ~is_real() & F.coalesce(F.col("entry_seq") > F.col("holder"), F.lit(False))
     bumped = stored(
         lookup_join(rows, contested, ["name"], "left").withColumn("lost", lost).drop("holder")
         .withColumn("rung", F.col("rung") + F.col("lost").cast("bigint")), "bumped")
@@ -119,8 +119,8 @@ def _climb(rows: DataFrame, contested: DataFrame) -> DataFrame:
 def decollide_names(located: DataFrame) -> DataFrame:
     """Add `name`, the final name of each row, and `renamed`.
 
-    In entry order a real keeps its name and so does a fake whose name is
-    free; another fake takes the first free of stem_voice.ext,
+    In entry order a real keeps its name and so does any other row (fake, of
+    another label or none) whose name is free; the others take the first free of stem_voice.ext,
     stem_voice_2.ext, ...  Every name thus goes to the oldest row that asks
     for it, and rows may ask in any order.  The rungs are set by rank at once;
     rounds are needed only while names of different bases meet.
@@ -130,7 +130,7 @@ def decollide_names(located: DataFrame) -> DataFrame:
     rows = stored(
         running(located, ["filename"], ["entry_seq"], nth=("count", F.lit(1)))
         .withColumns({"base": base, "ext": suffix("filename")}), "nth")
-    late = is_fake() & (F.col("nth") > 1)
+    late = ~is_real() & (F.col("nth") > 1)
     columns = [*located.columns, *_LADDER, "rung"]
     kept = rows.where(~late).withColumn("rung", F.lit(0).cast("bigint")).select(columns)
     ranked = running(rows.where(late).drop("nth"), _LADDER, ["entry_seq"],
@@ -155,17 +155,25 @@ def flat_path(label_col: str = "label", name_col: str = "name"):
     return F.concat(F.when(is_real(), F.lit("real/")).otherwise(F.lit("fake/")), F.col(name_col))
 
 
-def flatten_counts(plan: DataFrame, missing: DataFrame) -> DataFrame:
-    """Counts of a move plan (label, path, filepath, renamed) and of what has no file."""
+def flatten_counts(plan: DataFrame, missing: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """Counts of a move plan (label, path, filepath, renamed), of what has no file, and of moves that failed.
+
+    Every label but real counts as fake, as it goes to the same folder.
+    failed: rows of the plan whose move failed, once it was tried; it adds errors and moved.
+    """
     there = F.col("path") == F.col("filepath")
-    return plan.agg(
+    counts = plan.agg(
         F.count(F.lit(1)).alias("planned"),
         F.count_if(is_real()).alias("reals"),
-        F.count_if(is_fake()).alias("fakes"),
+        F.count_if(~is_real()).alias("fakes"),
         F.count_if(F.col("renamed")).alias("renamed"),
         F.count_if(there).alias("already_there"),
         F.count_if(~there).alias("to_move"),
     ).select("*", missing.agg(F.count(F.lit(1)).alias("n")).scalar().alias("missing"))
+    if failed is None:
+        return counts
+    return counts.withColumn("errors", failed.agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn(
+        "moved", F.col("to_move") - F.col("errors"))
 
 
 def next_index(manifest: DataFrame) -> DataFrame:

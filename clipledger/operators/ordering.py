@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipledger.session import stored
 
 SLOT = "__slot"      # grows along the order; range number above bit 33
 _RANGE = "__range"
 _IN_RANGE = (1 << 33) - 1
-TOP_K_ROWS = 1_000   # a top-k sends this many rows per task to one task
+TOP_K_ROWS = 100_000   # rows that may meet in one task for a top-k
 
 
 def _laid_out(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,11 +94,31 @@ def running(df: DataFrame, group: list[str], order: list[str], keep_slot: bool =
     return out.select(*df.columns, *([SLOT] if keep_slot else []), *result)
 
 
+def meets_in_one_task(df: DataFrame, n: int) -> bool:
+    """Whether `n` rows from each task are few enough for one task."""
+    return n * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= TOP_K_ROWS
+
+
+def tie_break(df: DataFrame, *keys: str) -> Column:
+    """A further key, so that rows with equal `keys` are in one order whatever the plan.
+
+    It is a hash of all other columns that can be hashed; rows it does not
+    tell apart are equal.
+    """
+    def flat(kind: T.DataType) -> bool:
+        return not (isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and not flat(kind.elementType)
+                    or isinstance(kind, T.StructType) and not all(flat(f.dataType) for f in kind))
+
+    others = [f"`{f.name}`" for f in df.schema if f.name not in keys and flat(f.dataType)]
+    return F.xxhash64(*others) if others else F.lit(0).cast("bigint")
+
+
 def take_first(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """The first `n` rows in key order; a large `n` stays distributed."""
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*keys).limit(max(n, 0))
-    return global_position(df, *keys, name="__pos").where(F.col("__pos") < n).drop("__pos")
+    """The first `n` rows in key order, ties in one order too; a large `n` stays distributed."""
+    tied = df.withColumn("__tie", tie_break(df, *keys))
+    if meets_in_one_task(df, n):
+        return tied.orderBy(*keys, "__tie").limit(max(n, 0)).drop("__tie")
+    return global_position(tied, *keys, "__tie", name="__pos").where(F.col("__pos") < n).drop("__pos", "__tie")
 
 
 def keep_first(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from clipledger.functions.text import retriable
 from clipledger.operators.ordering import global_position
@@ -21,17 +22,19 @@ def convert_rows(df: DataFrame, convert: Callable[[object, dict], dict], added:
 
     `setup` runs once per task.  A row whose call raises gets the message in
     `error` and NULLs; it never stops the others.  Store the result before
-    reading it more than once, or the function runs again.
+    reading it more than once, or the function runs again.  The columns of
+    `df` pass through as they are; the function sees plain Python values.
     """
     schema = T.StructType([*df.schema.fields, *added.fields,
                            T.StructField("error", T.StringType())])
     names = [f.name for f in added.fields]
+    made_types = to_arrow_schema(T.StructType(schema.fields[len(df.schema):]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = setup() if setup else None
         for batch in batches:
             values: dict[str, list] = {n: [] for n in [*names, "error"]}
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 try:
                     made, error = convert(context, row), None
                 except Exception as e:  # noqa: BLE001 - any failure is the row's own
@@ -39,10 +42,10 @@ def convert_rows(df: DataFrame, convert: Callable[[object, dict], dict], added:
                 for n in names:
                     values[n].append(made.get(n))
                 values["error"].append(error)
-            yield batch.assign(**{
-                n: pd.Series(v, index=batch.index, dtype=object) for n, v in values.items()})
+            new = [pa.array(values[f.name], f.type) for f in made_types]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *values])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def with_error(df: DataFrame, check: Column, message: Column | str) -> DataFrame:

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clipledger.functions.paths import is_corpus_member, target_path, wav_for_member
-from clipledger.operators.ordering import keep_first, running, take_first
+from clipledger.operators.ordering import keep_first, meets_in_one_task, running, take_first, tie_break
 from clipledger.operators.skew import lookup_join
 from clipledger.schema import METHOD_SPEECH
 
-PUSHED_LIMIT = 100
-
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
@@ -85,13 +83,15 @@ def limit_per_voice(pending: DataFrame, limit: int | None, *order: str) -> DataF
         return pending
     if limit < 0:
         raise ValueError("limit must not be negative")
-    if limit <= PUSHED_LIMIT:
+    pending = pending.withColumn("__tie", tie_break(pending, "voice", *order))
+    order = (*order, "__tie")
+    if meets_in_one_task(pending, limit):
         nth = F.row_number().over(W.partitionBy("voice").orderBy(*order))
-        return pending.withColumn("__nth", nth).where(F.col("__nth") <= limit).drop("__nth")
+        return pending.withColumn("__nth", nth).where(F.col("__nth") <= limit).drop("__nth", "__tie")
     # Every task sends up to `limit` rows per voice to the voice's one task.
     # A larger limit is counted range by range instead.
     return running(pending, ["voice"], list(order), __nth=("count", F.lit(1))).where(
-        F.col("__nth") <= limit).drop("__nth")
+        F.col("__nth") <= limit).drop("__nth", "__tie")
 
 
 def pending_by_key(work: DataFrame, manifest: DataFrame, method: str | None = None,

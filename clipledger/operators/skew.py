@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_BYTES = 256 << 20   # no key of a table this small needs care
-HOT_ROWS = 1_000_000      # nor does a key with fewer rows
-HOT_SHARE = 0.01          # nor one that balances with its neighbours
-_KEYS, _TRACKED = 64, 512
+_TRACKED = 8              # items the sketch follows for each key it may report
+_MOST_KEYS = 100_000      # keys the sketch can report
 
 
 def _estimated_bytes(df: DataFrame) -> int:
@@ -24,16 +23,19 @@ def _estimated_bytes(df: DataFrame) -> int:
 def hot_hashes(df: DataFrame, keys: list[str]) -> list[int]:
     """Hashes of the keys that hold too many rows for one task; mostly none.
 
-    One pass over the key columns with a frequent-items sketch; at most 64
-    numbers come back.
+    A key is hot from half the rows of an average partition on, so at most
+    twice as many numbers as partitions come back.  One pass over the key
+    columns with a frequent-items sketch of that size.
     """
     if _estimated_bytes(df) <= SMALL_BYTES:
         return []
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(2 * parts, _MOST_KEYS)
     seen = df.select(F.xxhash64(*keys).alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(h, {_KEYS}, {_TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(h, {most}, {_TRACKED * most})").alias("top"),
     ).first()
-    least = max(HOT_ROWS, seen["rows"] * HOT_SHARE)
+    least = seen["rows"] / (2 * parts)
     return [t["item"] for t in seen["top"] or [] if t["count"] > least]
 
 
@@ -43,7 +45,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     if not hot:
         return left.join(right, keys, how)
     is_hot = F.xxhash64(*keys).isin(hot)
-    # At most one row per hot key, so this side has a few dozen rows.
+    # At most one row per hot key, so no more rows than twice the partitions.
     few = F.broadcast(right.where(is_hot))
     cold = left.where(~is_hot).join(right.where(~is_hot), keys, how)
     return cold.unionByName(left.where(is_hot).join(few, keys, how))

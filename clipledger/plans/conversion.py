@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from clipledger.functions.fields import utc_stamp
 from clipledger.operators.assign import assign
-from clipledger.operators.merge import incoming_entries, manifest_merge
+from clipledger.operators.merge import incoming_entries, manifest_merge, merge_rows
 from clipledger.operators.outcomes import convert_rows, successes
 from clipledger.operators.pending import limit_per_voice, pending_by_output
 from clipledger.schema import TEST_LIMIT
@@ -44,6 +44,15 @@ def run_conversion(plan: DataFrame, convert: Callable[[object, dict], dict],
 
 def merged_manifest(manifest: DataFrame, clips: DataFrame, outcomes: DataFrame, method: str,
                     at: Column | None = None, params: dict | None = None) -> DataFrame:
-    offered = incoming_entries(clips, successes(outcomes), method,
-                               utc_stamp(at), params)
-    return manifest_merge(manifest, offered, "part", "ord", "origin")
+    """The whole ledger after the run; `appended_entries` has its new rows alone."""
+    return manifest_merge(manifest, _offered(clips, outcomes, method, at, params), "part", "ord", "origin")
+
+
+def appended_entries(manifest: DataFrame, clips: DataFrame, outcomes: DataFrame, method: str,
+                     at: Column | None = None, params: dict | None = None) -> DataFrame:
+    """The rows a run adds to the ledger, for `LedgerStore.append`."""
+    return merge_rows(manifest, _offered(clips, outcomes, method, at, params), "part", "ord", "origin")
+
+
+def _offered(clips, outcomes, method, at, params) -> DataFrame:
+    return incoming_entries(clips, successes(outcomes), method, utc_stamp(at), params)

@@ -25,8 +25,10 @@ def signal_levels(frames: Column) -> Column:
 def new_samples(samples: DataFrame, stored_sources: DataFrame, *order: str) -> DataFrame:
     """Samples not stored yet, first per source_file.
 
-    A sample without a path has no identity and is always new.
+    A sample without a path (blank or NULL) has no identity and is always new;
+    its source_file becomes blank.
     """
+    samples = samples.withColumn("source_file", F.coalesce("source_file", F.lit("")))
     known = F.col("source_file") != ""
     once = keep_first(samples.where(known), ["source_file"], *order)
     fresh = set_difference(once, stored_sources, "source_file", unique=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipledger.operators.locate import locate_files
 from clipledger.operators.names import decollide_names, flat_path
+from clipledger.operators.outcomes import successes
 from clipledger.schema import MANIFEST_FIELDS
 from clipledger.session import stored
 
@@ -20,15 +21,27 @@ class FlattenPlan(NamedTuple):
 
 
 def flatten_plan(manifest: DataFrame, files: DataFrame) -> FlattenPlan:
-    """`moves` tells whoever moves files what goes where; nothing is moved here."""
+    """`moves` tells whoever moves files what goes where; nothing is moved here.
+
+    `manifest` is the ledger if every move succeeds; see `moved_manifest`.
+    """
     located = stored(locate_files(
         manifest.select("entry_seq", "filename", "label", "voice_model"), files), "located")
     found = located.where(F.col("path").isNotNull())
     missing = located.where(F.col("path").isNull()).drop("path")
     moves = decollide_names(found).withColumn("filepath", flat_path())
-    # Entries that were not located keep their name and path.
+    return FlattenPlan(moves, missing, moved_manifest(manifest, moves))
+
+
+def moved_manifest(manifest: DataFrame, moves: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+    """The ledger after the moves that succeeded.
+
+    outcomes: entry_seq and error (NULL for a success).  Entries that were not
+    located, were not tried or failed keep their name and path.
+    """
+    if outcomes is not None:
+        moves = moves.join(successes(outcomes).select("entry_seq"), "entry_seq", "left_semi")
     placed = moves.select("entry_seq", "name", F.col("filepath").alias("placed"))
-    after = manifest.join(placed, "entry_seq", "left").withColumns({
+    return manifest.join(placed, "entry_seq", "left").withColumns({
         "filename": F.coalesce("name", "filename"), "filepath": F.coalesce("placed", "filepath"),
     }).select("entry_seq", *MANIFEST_FIELDS)
-    return FlattenPlan(moves, missing, after)

@@ -20,7 +20,7 @@ from clipledger.operators.stats import done_counts as count_done
 from clipledger.operators.stats import engine_counts as count_engines
 from clipledger.operators.stats import label_counts as count_labels
 from clipledger.plans.corpus import engine_entries
-from clipledger.plans.flatten import flatten_plan
+from clipledger.plans.flatten import flatten_plan, moved_manifest
 from clipledger.queries.bindings import (
     DISK_SQL, FAKES_FROM, LEDGER_COLUMNS, LOCATED_SQL, MANIFEST_SQL, STAMP, clips, disk, manifest,
     table, turns,
@@ -116,7 +116,7 @@ select (select max(entry_seq) from m)
 from fresh
 """)
 def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All turns offered as converted clips and all pages as new real clips."""
+    """All turns offered as converted clips and all pages as new real clips; reals have no voice at all."""
     m = manifest(spark, sf_dir)
     pages = table(spark, sf_dir, "pages").select(
         F.format_string("page_%06d.wav", "page_id").alias("filename"))
@@ -125,7 +125,8 @@ def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source_file").alias("filename"), F.col("voice_model").alias("voice"),
         F.concat(F.lit("/data/real/"), "source_file").alias("source_path"),
         F.col("turn").alias("ord"))
-    offered = incoming_entries(real, converted, "rvc", STAMP)
+    offered = incoming_entries(real, converted, "rvc", STAMP).withColumn(
+        "voice_model", F.nullif("voice_model", F.lit("")))
     return merge(m, offered, "part", "ord", "origin")
 
 
@@ -198,9 +199,21 @@ def engine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("voice_model")))
 
 
-@query(f"with {MANIFEST_SQL}, {DISK_SQL}, {LOCATED_SQL} select * from l")
+_ODD_LABELS_SQL = """
+x as (select * replace (case when entry_seq % 7 = 3 then 'spoof' when entry_seq % 7 <> 5 then label end as label)
+      from m)
+"""
+
+
+@query(f"""
+with {MANIFEST_SQL}, {DISK_SQL}, {_ODD_LABELS_SQL},
+{LOCATED_SQL.replace("select m.*", "select x.*").replace("from m left", "from x left").replace("m.filename", "x.filename")}
+select * from l
+""")
 def locate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = manifest(spark, sf_dir).select("entry_seq", "filename", "label", "voice_model")
+    """Entries with a third label and without one among the real and fake ones."""
+    odd = F.when(F.col("entry_seq") % 7 == 3, "spoof").when(F.col("entry_seq") % 7 != 5, F.col("label"))
+    entries = manifest(spark, sf_dir).select("entry_seq", "filename", odd.alias("label"), "voice_model")
     return locate(entries, inventory(disk(spark, sf_dir)))
 
 
@@ -209,7 +222,7 @@ def locate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NAMES_SQL = """
 h as (select *, min(entry_seq) over (partition by filename) as first from l
       where path is not null),
-k as (select *, label = 'fake' and entry_seq > first as late,
+k as (select *, label is distinct from 'real' and entry_seq > first as late,
         regexp_replace(filename, '\\.wav$', '') || '_' || replace(voice_model, ' ', '_') as cand
       from h),
 n as (select *, row_number() over (partition by late, cand order by entry_seq) as nth from k),
@@ -221,15 +234,17 @@ f as (select entry_seq, label, path, filename, voice_model,
 
 @query(f"""
 with l as (select p_partkey as entry_seq, p_name || '.wav' as filename,
-  case when p_type = 'ECONOMY' then 'real' else 'fake' end as label, p_brand as voice_model,
+  case when p_type = 'ECONOMY' then 'real' when p_size % 5 = 0 then 'spoof'
+    when p_size % 7 <> 0 then 'fake' end as label, p_brand as voice_model,
   '' as path from part), {_NAMES_SQL}
 select entry_seq, filename, label, voice_model, name, name <> filename as renamed from f
 """)
 def decollide_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names as clip names: many rows share few names."""
+    """Part names as clip names: many rows share few names; some have another label or none."""
     return decollide(table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("entry_seq"), F.concat("p_name", F.lit(".wav")).alias("filename"),
-        F.when(F.col("p_type") == "ECONOMY", "real").otherwise("fake").alias("label"),
+        F.when(F.col("p_type") == "ECONOMY", "real").when(F.col("p_size") % 5 == 0, "spoof")
+        .when(F.col("p_size") % 7 != 0, "fake").alias("label"),
         F.col("p_brand").alias("voice_model")))
 
 
@@ -243,22 +258,29 @@ mv as (select *, label || '/' || name as filepath from f)
 select count(*) as planned, count(*) filter (label = 'real') as reals,
   count(*) filter (label = 'fake') as fakes, count(*) filter (name <> filename) as renamed,
   count(*) filter (path = filepath) as already_there, count(*) filter (path <> filepath) as to_move,
-  (select count(*) from l where path is null) as missing
+  (select count(*) from l where path is null) as missing,
+  count(*) filter (path <> filepath and entry_seq % 10 = 0) as errors,
+  count(*) filter (path <> filepath and entry_seq % 10 <> 0) as moved
 from mv
 """)
 def flatten_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = flatten_plan(manifest(spark, sf_dir), inventory(disk(spark, sf_dir)))
-    return count_moves(plan.moves, plan.missing)
+    failed = plan.moves.where((F.col("path") != F.col("filepath")) & (F.col("entry_seq") % 10 == 0))
+    return count_moves(plan.moves, plan.missing, failed)
 
 
 @query(f"""{_FLAT_SQL}
 select m.entry_seq, coalesce(mv.name, m.filename) as filename, coalesce(mv.filepath, '') as filepath,
   m.label, m.method, m.voice_model, m.source_file, m.generated_at
-from m left join mv on mv.entry_seq = m.entry_seq
+from m left join mv on mv.entry_seq = m.entry_seq and not (mv.path <> mv.filepath and mv.entry_seq % 10 = 0)
 """)
 def flatten_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = flatten_plan(manifest(spark, sf_dir), inventory(disk(spark, sf_dir)))
-    return plan.manifest.select("entry_seq", "filename", "filepath", "label", "method",
+    """The ledger after a move in which every tenth file could not be moved."""
+    m = manifest(spark, sf_dir)
+    plan = flatten_plan(m, inventory(disk(spark, sf_dir)))
+    refused = (F.col("path") != F.col("filepath")) & (F.col("entry_seq") % 10 == 0)
+    outcomes = plan.moves.select("entry_seq", F.when(refused, "no space left").alias("error"))
+    return moved_manifest(m, plan.moves, outcomes).select("entry_seq", "filename", "filepath", "label", "method",
                                 "voice_model", "source_file", "generated_at")
 
 

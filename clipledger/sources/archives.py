@@ -5,10 +5,12 @@ from __future__ import annotations
 import tarfile
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+_BATCH_BYTES, _BATCH_ROWS = 16 << 20, 10_000   # payload and members handed on at a time
 _SCHEMA = "archive string, member string, seq bigint, is_file boolean, content binary"
 
 
@@ -22,13 +24,25 @@ class _TarReader(DataSourceReader):
         self.paths = [p for p in options["paths"].split("\n") if p]
         self.suffix = options.get("suffix", "")
         self.content = options.get("content", "true") == "true"
+        self.default = options.get("default", "file:///")
 
     def partitions(self) -> list[_Archive]:
         # A gzip stream cannot be entered midway: one task per archive.
         return [_Archive(p) for p in self.paths]
 
-    def read(self, partition: _Archive) -> Iterator[tuple]:
-        filesystem, path = arrow_fs.FileSystem.from_uri(as_uri(partition.path))
+    def read(self, partition: _Archive) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in self._members(partition.path):
+            held.append(row)
+            size += len(row[4] or b"")
+            if size >= _BATCH_BYTES or len(held) >= _BATCH_ROWS:
+                yield _batch(held)
+                held, size = [], 0
+        if held:
+            yield _batch(held)
+
+    def _members(self, archive: str) -> Iterator[tuple]:
+        filesystem, path = arrow_fs.FileSystem.from_uri(as_uri(archive, self.default))
         with filesystem.open_input_stream(path, compression=None) as raw:
             with tarfile.open(fileobj=raw, mode="r|gz") as tar:
                 for seq, member in enumerate(tar):
@@ -36,11 +50,24 @@ class _TarReader(DataSourceReader):
                     payload = None
                     if wanted and self.content:
                         payload = tar.extractfile(member).read()
-                    yield partition.path, member.name, seq, member.isfile(), payload
+                    yield archive, member.name, seq, member.isfile(), payload
 
 
-def as_uri(path: str) -> str:
-    return path.replace("s3a://", "s3://") if "://" in path else f"file://{path}"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.binary()]
+    names = ["archive", "member", "seq", "is_file", "content"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
+def as_uri(path: str, default: str = "file:///") -> str:
+    """The path with its scheme; one without belongs to the file system `default`."""
+    if "://" not in path and not path.startswith("file:/"):
+        path = default.rstrip("/") + path if not default.startswith("file:") else f"file://{path}"
+    return path.replace("s3a://", "s3://")
+
+
+def default_file_system(spark: SparkSession) -> str:
+    return spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
 
 
 class TarMembers(DataSource):
@@ -63,4 +90,5 @@ def archive_members(spark: SparkSession, archives: list[str], suffix: str = "",
     """
     spark.dataSource.register(TarMembers)
     return spark.read.format("tar_members").options(
-        paths="\n".join(archives), suffix=suffix, content=str(content).lower()).load()
+        paths="\n".join(archives), suffix=suffix, content=str(content).lower(),
+        default=default_file_system(spark)).load()

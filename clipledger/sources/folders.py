@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +82,9 @@ def output_listing(spark: SparkSession, fake_root: str, pattern: str = "*") -> D
 
 def disk_inventory(spark: SparkSession, data_root: str) -> DataFrame:
     """All wav files under the root as (path relative to it, parent, name)."""
-    root = data_root.rstrip("/") + "/"
+    fs, p = _fs(spark, data_root)
+    # As the listing writes it, whatever way the root was typed.
+    root = re.sub("^file:/+", "/", fs.makeQualified(p).toString()).rstrip("/") + "/"
     files = listing(spark, data_root, "*.wav", recursive=True)
     inside = F.substring(F.col("path"), F.lit(len(root) + 1), F.length("path"))
     return files.select(inside.alias("path"), parent_name("path").alias("parent"),

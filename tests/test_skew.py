@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from clipledger.operators import skew
 from clipledger.operators.pending import set_difference, set_intersection
@@ -22,7 +23,6 @@ def tables(spark):
 @pytest.fixture()
 def eager(monkeypatch):
     monkeypatch.setattr(skew, "SMALL_BYTES", -1)
-    monkeypatch.setattr(skew, "HOT_ROWS", 200)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -30,7 +30,6 @@ def test_same_rows(tables, how, monkeypatch):
     left, right = tables
     plain = lookup_join(left, right, ["k", "v"], how)
     monkeypatch.setattr(skew, "SMALL_BYTES", -1)
-    monkeypatch.setattr(skew, "HOT_ROWS", 200)
     split = lookup_join(left, right, ["k", "v"], how)
     assert "Union" in split._jdf.queryExecution().toString()
     assert rows(split, *plain.columns) == rows(plain)
@@ -42,6 +41,16 @@ def test_finds_only_hot_keys(tables, eager):
     assert hot_hashes(tables[0].where("i < 0"), ["k"]) == []
 
 
+def test_a_key_of_half_a_percent_is_hot_for_400_partitions(spark, eager):
+    df = spark.range(100_000).select(F.when(F.col("id") < 500, -1).otherwise(F.col("id")).alias("k"))
+    assert hot_hashes(df, ["k"]) == []
+    spark.conf.set("spark.sql.shuffle.partitions", 400)
+    try:
+        assert len(hot_hashes(df, ["k"])) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 def test_difference_and_intersection(tables, eager):
     left, right = tables
     repeated = right.unionByName(right)
