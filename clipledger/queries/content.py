@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipledger.functions import paths
+from clipledger.functions.fields import utc_stamp
 from clipledger.functions.signal import (
     centre_clip as clip_centre, downmix, quantise, riff_seconds, seconds_or_default,
 )
@@ -213,7 +214,10 @@ select doc_id, case when lang = 'de' then 10.7::double else n_chars::double / 16
 from documents
 """)
 def wav_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 16 kHz mono header of n_chars frames per document; German ones are broken."""
+    """A 16 kHz mono header of n_chars frames per document; German ones are broken.
+
+    French ones have a list chunk of odd length before the samples.
+    """
     def le(value: Column, size: int) -> Column:
         digits = F.lpad(F.hex(value), size * 2, "0")
         return F.concat(*[F.substring(digits, size * 2 - 1 - 2 * i, 2) for i in range(size)])
@@ -222,7 +226,9 @@ def wav_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = F.when(F.col("lang") == "de", F.hex(F.lit("JUNK"))).otherwise(F.hex(F.lit("data")))
     header = F.concat(
         F.hex(F.lit("RIFF")), le(size + 36, 4), F.hex(F.lit("WAVEfmt ")), F.lit("10000000"),
-        F.lit("01000100"), F.lit("803E0000"), F.lit("007D0000"), F.lit("02001000"), mark, le(size, 4))
+        F.lit("01000100"), F.lit("803E0000"), F.lit("007D0000"), F.lit("02001000"),
+        F.when(F.col("lang") == "fr", F.concat(F.hex(F.lit("LIST")), F.lit("05000000"), F.hex(F.lit("INFOx")), F.lit("00")))
+        .otherwise(F.lit("")), mark, le(size, 4))
     return table(spark, sf_dir, "documents").select(
         "doc_id", seconds_or_default(riff_seconds(F.unhex(header))).alias("seconds"))
 
@@ -307,16 +313,24 @@ def _count_words(limits: dict, row: dict) -> dict:
 
 
 @query("""
-with w as (select doc_id, len(string_split(text, ' ')) as n from documents)
-select doc_id, case when n >= 40 then n end as words,
-  case when n < 40 then 'only ' || n || ' words' end as error
+with w as (select doc_id, len(string_split(text, ' ')) as n,
+             case when lang <> 'fr' then 9007199254740993 + doc_id end as big from documents)
+select doc_id, big, big as seen, array_to_string([doc_id, doc_id + 1], ',') as pair,
+  case when n >= 40 then n end as words, case when n < 40 then 'only ' || n || ' words' end as error
 from w
 """)
 def convert_each_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A Python function per row with set-up per task and errors as values."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """A Python function per row with set-up per task and errors as values.
+
+    The other columns pass through: integers above 2^53, NULLs and an array.
+    """
+    big = F.when(F.col("lang") != "fr", F.lit(9007199254740993) + F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", big.alias("big"), big.alias("seen"),
+        F.array("doc_id", F.col("doc_id") + 1).alias("pair"))
     added = T.StructType([T.StructField("words", T.LongType())])
-    return convert_rows(docs, _count_words, added, setup=lambda: {"least": 40}).drop("text")
+    return convert_rows(docs, _count_words, added, setup=lambda: {"least": 40}).drop("text").withColumn(
+        "pair", F.array_join("pair", ","))
 
 
 def _document_files(sf_dir: str) -> str:
@@ -329,16 +343,20 @@ def _documents_schema(spark: SparkSession, sf_dir: str) -> T.StructType:
 
 
 @query("""
-with s as (select d.doc_id, source || '/' || d.doc_id as source_file
+with s as (select d.doc_id, case when d.doc_id % 10 = 7 then '' else source || '/' || d.doc_id end as source_file
            from documents d left join labels l on l.doc_id = d.doc_id
            where lang = 'en' and coalesce(toxic, 0) = 0),
-n as (select *, row_number() over (order by source_file) - 1 as i from s)
+a as (select 1 as run, * from s union all select 2, * from s where source_file = ''),
+n as (select *, row_number() over (order by run, doc_id) - 1 as i from a)
 select i as entry_seq, printf('tagarela_%06d.wav', i) as filename, 'real' as label,
   'tagarela' as method, source_file
 from n
 """)
 def accent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents as a sample stream, run twice; toxic ones fail to decode."""
+    """English documents as a sample stream, run twice; toxic ones fail to decode.
+
+    Every tenth has no path, so nothing tells that the second run brings it again.
+    """
     bad = table(spark, sf_dir, "labels").where("toxic = 1").select(
         "doc_id", F.lit("no audio").alias("error"))
     schema = _documents_schema(spark, sf_dir)
@@ -346,14 +364,47 @@ def accent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = LedgerStore(spark, f"{root}/ledger")
     for run in ("first", "again"):
         stream = sample_stream(spark, _document_files(sf_dir), "en", schema, "lang").select(
-            "doc_id", F.concat_ws("/", "source", "doc_id").alias("source_file"))
+            "doc_id", F.when(F.col("doc_id") % 10 != 7, F.concat_ws("/", "source", "doc_id")).alias("source_file"))
         ingest_stream(
-            stream, store, f"{root}/progress-{run}", target=1 << 60,
+            stream, store, f"{root}/progress-{run}", target=None,
             prepare=lambda df: df.join(bad, "doc_id", "left"),
         ).awaitTermination()
     return store.read().select("entry_seq", "filename", "label", "method", "source_file")
 
 
+@query("""
+with s as (select d.doc_id from documents d left join labels l on l.doc_id = d.doc_id
+           where lang = 'en' and coalesce(toxic, 0) = 0),
+n as (select *, row_number() over (order by doc_id) - 1 as i from s),
+t as (select count(*) // 2 as target from documents where lang = 'en')
+select i as entry_seq, printf('tagarela_%06d.wav', i) as filename, 'en/' || doc_id as source_file
+from n cross join t where i < target
+""")
+def ingest_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops half-way: the target binds, and a second run adds nothing."""
+    bad = table(spark, sf_dir, "labels").where("toxic = 1").select(
+        "doc_id", F.lit("no audio").alias("error"))
+    target = table(spark, sf_dir, "documents").where("lang = 'en'").count() // 2
+    root = new_path(spark, "ingest")
+    store = LedgerStore(spark, f"{root}/ledger")
+    for run in ("first", "again"):
+        stream = sample_stream(
+            spark, _document_files(sf_dir), "en", _documents_schema(spark, sf_dir), "lang").select(
+            "doc_id", F.concat_ws("/", "lang", "doc_id").alias("source_file"))
+        ingest_stream(
+            stream, store, f"{root}/progress-{run}", target,
+            prepare=lambda df: df.join(bad, "doc_id", "left"),
+        ).awaitTermination()
+    return store.read().select("entry_seq", "filename", "source_file")
+
+
+@query("""
+select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as at from events
+""")
+def event_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", utc_stamp(F.col("ts")).alias("at"))
+
+
 _STREAM_BUDGET = 900_000
 
 

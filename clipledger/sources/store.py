@@ -43,6 +43,24 @@ class LedgerStore:
     def append(self, rows: DataFrame) -> None:
         self._write(rows, max(self.version(), 1), "append")
 
+    def append_once(self, rows: DataFrame, tag: str) -> None:
+        """Append rows with new entry numbers exactly once for `tag`, however often it is called.
+
+        They are staged under the tag first.  A call that finds them staged
+        by an earlier one adds them only if the ledger does not have their
+        first number yet, which is the case if that call was cut short.
+        """
+        staged = f"{self.root}/staged/{tag}"
+        if not exists(self.spark, f"{staged}/_SUCCESS"):
+            rows.select(LEDGER.names).write.mode("overwrite").parquet(staged)
+        held = self.spark.read.schema(LEDGER).parquet(staged)
+        first = held.agg(F.min("entry_seq").alias("first")).first()["first"]
+        if first is not None and self.read().where(F.col("entry_seq") == first).isEmpty():
+            self.append(held)
+
+    def has_staged(self, tag: str) -> bool:
+        return exists(self.spark, f"{self.root}/staged/{tag}/_SUCCESS")
+
     def rewrite(self, rows: DataFrame) -> None:
         # Overwrites only what an earlier failed attempt at this version left.
         self._write(rows, self.version() + 1, "overwrite")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions.fields import accepted, as_text, rejected, typed_or_reject
 from clipledger.operators.ordering import global_position
-from clipledger.schema import LEDGER
+from clipledger.schema import LEDGER, MANIFEST_FIELDS
 from clipledger.sources.folders import exists
 
 _QUOTING = {
@@ -17,12 +19,41 @@ _QUOTING = {
 FILE_ORDER = ["file", "block", "line"]
 
 
-def _text_table(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    # Columns are bound by header name, so a file without an optional column
-    # still reads right; a given schema would bind them by position.
-    # A quoted cell may hold a line break, so a file is not split by default.
-    opts = {**_QUOTING, "multiLine": "true", "inferSchema": "false", **options}
-    return spark.read.options(**opts).csv(path)
+def _layouts(spark: SparkSession, path: str) -> dict[tuple[str, bool], list[str]]:
+    """Files by their header line and by whether a quoted cell holds a line break.
+
+    A line with an odd number of quotes opens or closes such a cell.  Files
+    without one are split over tasks; one row per file comes to the driver,
+    which has listed the files anyway.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.groupBy("file").agg(
+        F.min(F.struct("block", "line", "value")).alias("head"), F.max(quotes % 2).alias("odd")).collect()
+    out: dict[tuple[str, bool], list[str]] = {}
+    for r in sorted(found, key=lambda r: r["file"]):
+        out.setdefault((r["head"]["value"], bool(r["odd"])), []).append(r["file"])
+    return out
+
+
+def _text_tables(spark: SparkSession, path: str, **options: str) -> list[DataFrame]:
+    """The files' rows with FILE_ORDER, one table for each header.
+
+    Columns are bound by header name, file by file; a given schema, or the
+    header of the first file, would bind them by position.
+    """
+    return [
+        with_file_order(spark.read.options(
+            **{**_QUOTING, "multiLine": str(broken).lower(), "inferSchema": "false", **options}).csv(files))
+        for (_, broken), files in _layouts(spark, path).items()]
+
+
+def _picked(spark: SparkSession, tables: list[DataFrame], columns: list[str]) -> DataFrame:
+    if not tables:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    return reduce(DataFrame.unionByName, [t.select(columns) for t in tables])
 
 
 def with_file_order(table: DataFrame) -> DataFrame:
@@ -44,7 +75,12 @@ def manifest_scan(spark: SparkSession, path: str,
     if not exists(spark, path):
         empty = spark.createDataFrame([], LEDGER)
         return empty, empty.withColumn("reject", F.lit(""))
-    typed = typed_or_reject(with_file_order(_text_table(spark, path, **options)))
+    tables = [typed_or_reject(t) for t in _text_tables(spark, path, **options)]
+    columns = [*FILE_ORDER, *MANIFEST_FIELDS, "reject"]
+    if not tables:
+        empty = spark.createDataFrame([], LEDGER)
+        return empty, empty.withColumn("reject", F.lit(""))
+    typed = reduce(DataFrame.unionByName, [t.select(columns) for t in tables])
     good = global_position(accepted(typed), *FILE_ORDER, name="entry_seq")
     return good.select(LEDGER.names), rejected(typed).drop(*FILE_ORDER)
 
@@ -59,12 +95,11 @@ def manifest_write(manifest: DataFrame, path: str) -> None:
 
 def transcript_scan(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """(path, sentence, file, block, line) of tab-separated transcripts."""
-    table = _text_table(spark, path, sep="\t", maxCharsPerColumn="10000000", **options)
-    return with_file_order(table).select("path", "sentence", *FILE_ORDER)
+    return _picked(spark, _text_tables(spark, path, sep="\t", **options), ["path", "sentence", *FILE_ORDER])
 
 
 def sentences_scan(spark: SparkSession, path: str) -> DataFrame:
-    return _text_table(spark, path).select("wav_filename", "sentence")
+    return _picked(spark, _text_tables(spark, path), ["wav_filename", "sentence"])
 
 
 def sentences_write(sentences: DataFrame, path: str) -> None:

@@ -30,7 +30,12 @@ def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
 def convert_batch(batch: DataFrame, store: LedgerStore, outcomes_path: str, run: str, voice: str,
                   limit_ms: int, convert: Callable[[DataFrame], DataFrame],
                   at: Column | None = None) -> None:
-    """Convert one flush of sources for `voice` with what the run has left."""
+    """Convert one flush of sources for `voice` with what the run has left.
+
+    A voice begins only with BUDGET_FLOOR_MS left; once it has begun, only a
+    source that does not fit ends it, so the answer does not depend on how the
+    sources are cut into flushes.
+    """
     spark = batch.sparkSession
     columns = [c.split()[0] for c in OUTCOMES.split(", ")]
     log = read_outcomes(spark, outcomes_path)
@@ -39,17 +44,21 @@ def convert_batch(batch: DataFrame, store: LedgerStore, outcomes_path: str, run:
         F.coalesce(F.sum(F.when(F.col("error").isNull(), F.col("duration_ms"))), F.lit(0))
         .alias("used"),
         F.coalesce(F.max(ours & F.col("source_file").isNull()), F.lit(False)).alias("stopped"),
+        F.coalesce(F.max(ours), F.lit(False)).alias("begun"),
     ).first()
-    if not state["stopped"] and limit_ms - state["used"] >= BUDGET_FLOOR_MS:
+    left = limit_ms - state["used"]
+    stop = spark.createDataFrame([(run, voice, None, None, None, None, "budget")], OUTCOMES)
+    if not state["stopped"] and not state["begun"] and left < BUDGET_FLOOR_MS:
+        stop.write.mode("append").parquet(outcomes_path)
+    elif not state["stopped"]:
         tried = log.where(ours & (F.col("run") == run) & F.col("source_file").isNotNull())
         work = set_difference(
             revoicing_work(keep_first(batch, ["source_file"], "duration_ms"), voice, store.read()),
             tried, "source_file", unique=True)
-        done, _, stopped = convert_within(work, limit_ms - state["used"], convert)
+        done, _, stopped = convert_within(work, left, convert)
         rows = done.withColumn("run", F.lit(run)).select(columns)
         if stopped:
-            rows = rows.unionByName(spark.createDataFrame(
-                [(run, voice, None, None, None, None, "budget")], OUTCOMES))
+            rows = rows.unionByName(stop)
         rows.write.mode("append").parquet(outcomes_path)
     register(store, read_outcomes(spark, outcomes_path).where(ours), at)
 

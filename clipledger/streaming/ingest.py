@@ -4,26 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipledger.functions.fields import utc_stamp
 from clipledger.functions.paths import sequence_index
 from clipledger.plans.corpus import new_samples, sample_entries
-from clipledger.schema import METHOD_SAMPLES, SAMPLE_TARGET
+from clipledger.schema import METHOD_SAMPLES
 from clipledger.session import stored
 from clipledger.sources.store import LedgerStore
 
+ARRIVAL = "__arrival"
 
-def ingest_batch(batch: DataFrame, store: LedgerStore, target: int = SAMPLE_TARGET,
+
+def ingest_batch(batch: DataFrame, store: LedgerStore, target: int | None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 at: Column | None = None) -> None:
-    """Append the new successes of one batch, up to the target.
+                 at: Column | None = None, tag: str | None = None) -> None:
+    """Append the new successes of one batch in arrival order, up to the target (None: all).
 
-    `batch` has source_file and what `prepare` needs to add `error`.  A batch
-    that is replayed finds its sources stored and adds nothing.
+    `batch` has source_file and what `prepare` needs to add `error`.  With a
+    `tag` the batch is appended exactly once; without one, a batch that is
+    replayed finds its named sources stored and adds its nameless ones again.
     """
+    if tag is not None and store.has_staged(tag):
+        store.append_once(batch, tag)   # what is staged counts, not the batch
+        return
     ledger = store.read()
     mine = F.col("method") == METHOD_SAMPLES
     state = ledger.agg(
@@ -31,27 +37,41 @@ def ingest_batch(batch: DataFrame, store: LedgerStore, target: int = SAMPLE_TARG
         F.coalesce(F.max(F.when(mine, sequence_index("filename"))) + 1, F.lit(0)).alias("start"),
         F.coalesce(F.max("entry_seq") + 1, F.lit(0)).alias("seq"),
     ).first()
+    target = (1 << 62) if target is None else target
     if state["done"] >= target:
         return
-    fresh = new_samples(batch, ledger.where(mine), "source_file")
+    arrived = batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
+    fresh = new_samples(arrived, ledger.where(mine), ARRIVAL)
     outcomes = prepare(fresh) if prepare else fresh.withColumn("error", F.lit(None).cast("string"))
     # Stored before it is ordered, which reads it twice: `prepare` runs once.
-    outcomes = stored(outcomes.select("source_file", "error"), "outcomes")
-    rows = sample_entries(outcomes, target, state["done"], state["start"], utc_stamp(at),
-                          "source_file")
-    store.append(rows.withColumn(
-        "entry_seq", F.col("index") - F.lit(state["start"]) + F.lit(state["seq"])))
+    outcomes = stored(outcomes.select("source_file", ARRIVAL, "error"), "outcomes")
+    rows = sample_entries(outcomes, target, state["done"], state["start"], utc_stamp(at), ARRIVAL)
+    rows = rows.withColumn("entry_seq", F.col("index") - F.lit(state["start"]) + F.lit(state["seq"]))
+    if tag is None:
+        store.append(rows)
+    else:
+        store.append_once(rows, tag)
+
 
+def stream_id(spark: SparkSession, progress: str) -> str:
+    """The identifier a stream keeps in its progress folder over all its runs."""
+    text = spark.read.text(f"{progress.rstrip('/')}/metadata").first()["value"]
+    return text.split('"id":"')[1].split('"')[0]
 
-def ingest_stream(samples: DataFrame, store: LedgerStore, progress: str,
+
+def ingest_stream(samples: DataFrame, store: LedgerStore, progress: str, target: int | None,
                   **batch_options) -> StreamingQuery:
     """Start the ingest over all files there are now; run again to resume.
 
-    `progress` keeps which files were read.  It must be a shared folder.
+    `progress` keeps which files were read.  It must be a shared folder.  A
+    batch that is run again after a failure is not added twice.
     """
+    def add(batch: DataFrame, number: int) -> None:
+        tag = f"{stream_id(batch.sparkSession, progress)}-{number}"
+        ingest_batch(batch, store, target, tag=tag, **batch_options)
+
     return (
-        samples.writeStream.foreachBatch(
-            lambda batch, _: ingest_batch(batch, store, **batch_options))
+        samples.writeStream.foreachBatch(add)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -173,3 +173,20 @@ def test_riff_seconds(spark):
              header(data=b"LIST"), header(fmt=3), b"", b"RIFF", header(3_000_000_00)]
     got = mapped(spark, cases, lambda c: seconds_or_default(riff_seconds(c)), "binary")
     assert got == [2.0, 1.0, 10.7, 10.7, 10.7, 10.7, 10.7, 10.7, 18750.0]
+
+
+def test_riff_chunks_are_walked(spark):
+    def chunk(name, body):
+        return name + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
+
+    def fmt(tag, tail=b""):
+        return chunk(b"fmt ", struct.pack("<HHIIHH", tag, 2, 8000, 32000, 4, 16) + tail)
+
+    pcm = bytes.fromhex("0100000000001000800000AA00389B71")
+    data = b"data" + struct.pack("<I", 4 * 24000)
+    extensible = fmt(0xFFFE, struct.pack("<HHI", 22, 16, 3) + pcm)
+    bodies = [fmt(1) + chunk(b"LIST", b"INFO" * 9) + data, chunk(b"JUNK", b"odd") + fmt(1) + chunk(b"fact", b"x" * 7) + data,
+              extensible + data, fmt(0xFFFE, struct.pack("<HHI", 22, 16, 3) + b"\3" + pcm[1:]) + data,
+              data + fmt(1), fmt(1) + chunk(b"LIST", b"abc")]
+    got = mapped(spark, [b"RIFF\0\0\0\0WAVE" + b for b in bodies], lambda c: seconds_or_default(riff_seconds(c)), "binary")
+    assert got == [3.0, 3.0, 3.0, 10.7, 10.7, 10.7]

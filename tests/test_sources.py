@@ -132,6 +132,22 @@ def test_manifest_scan_by_header(spark, tmp_path):
     assert good.count() == 0 and bad.count() == 0
 
 
+def test_each_file_is_bound_by_its_own_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("filename,filepath,label,method\nx.wav,real/x.wav,real,\n")
+    (tmp_path / "in/b.csv").write_text("filename,label,method,voice_model\ny.wav,fake,tts,V\n")
+    (tmp_path / "in/c.csv").write_text("filename,method\nz.wav,tts\n")
+    good, bad = manifest_scan(spark, f"{tmp_path}/in")
+    assert rows(good, "filename", "filepath", "label", "method", "voice_model") == [
+        ("x.wav", "real/x.wav", "real", "", ""), ("y.wav", "", "fake", "tts", "V")]
+    assert rows(bad, "filename", "reject") == [("z.wav", "label")]
+
+
+def test_a_cell_may_be_of_any_length(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("path\tsentence\na.mp3\t" + "x" * 10_000_001 + "\n")
+    assert transcript_scan(spark, f"{tmp_path}/t.tsv").select(F.length("sentence")).first()[0] == 10_000_001
+
+
 def test_manifest_write_keeps_order_and_text(spark, tmp_path):
     (tmp_path / "m.csv").write_bytes(MANIFEST_CSV.encode())
     good, _ = manifest_scan(spark, f"{tmp_path}/m.csv")
@@ -186,7 +202,15 @@ def test_file_seconds(spark, tmp_path):
         w.writeframes(b"\0" * 4 * 12000)
     put(tmp_path, "b.wav")
     got = with_file_seconds(clip_listing(spark, str(tmp_path)))
-    assert rows(got, "filename", "seconds") == [("a.wav", 1.5), ("b.wav", 10.7)]
+    assert rows(got, "filename", "seconds", "error") == [("a.wav", 1.5, None), ("b.wav", 10.7, None)]
+    lost = with_file_seconds(spark.createDataFrame([(f"{tmp_path}/no.wav",), ("hdfs://nowhere.invalid/a.wav",)], "path string"))
+    assert all(r["seconds"] is None and r["error"] for r in lost.collect())
+
+
+@pytest.mark.parametrize("form", ["{}", "{}/", "file:{}", "file://{}"])
+def test_inventory_of_a_root_in_any_form(spark, tmp_path, form):
+    put(tmp_path, "data/real/a.wav")
+    assert rows(disk_inventory(spark, form.format(f"{tmp_path}/data"))) == [("real/a.wav", "real", "a.wav")]
 
 
 def test_samples_push_the_filter(spark, tmp_path):

@@ -1,5 +1,7 @@
 """Incremental jobs: the same rows as a batch, nothing twice."""
 
+import time
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -59,11 +61,46 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
     batch = spark.createDataFrame([("a", b"1"), ("a", b"2"), ("b", None), ("c", b"3")],
                                   "source_file string, bytes binary")
     for _ in range(2):
-        ingest_batch(batch, store, prepare=decode, at=noon())
+        ingest_batch(batch, store, None, prepare=decode, at=noon())
         assert rows(store.read(), "source_file", "filename") == [
             ("a", "tagarela_000000.wav"), ("c", "tagarela_000001.wav")]
 
 
+def test_replayed_batch_of_nameless_samples(spark, tmp_path):
+    store = LedgerStore(spark, f"{tmp_path}/ledger")
+    batch = spark.createDataFrame([(None, b"1"), ("", b"2"), ("b", b"3"), (None, None)],
+                                  "source_file string, bytes binary")
+    for _ in range(2):
+        ingest_batch(batch, store, None, prepare=decode, at=noon(), tag="s-0")
+        assert rows(store.read(), "source_file") == [("",), ("",), ("b",)]
+    # A run cut short between staging and appending is mended by the next one.
+    other = LedgerStore(spark, f"{tmp_path}/other")
+    store.read().write.parquet(f"{tmp_path}/other/staged/s-0")
+    ingest_batch(batch, other, None, prepare=decode, at=noon(), tag="s-0")
+    assert other.read().count() == 3
+    ingest_batch(batch, store, None, prepare=decode, at=noon(), tag="s-1")
+    assert store.read().count() == 5
+
+
+def test_flushes_do_not_change_the_answer(spark, tmp_path):
+    clips = [("a.wav", 50_000), ("b.wav", 10_000), ("c.wav", 45_000), ("d.wav", 1_000)]
+    kind = "source_file string, duration_ms bigint"
+    got = []
+    for files in (1, 2, 4):
+        root = f"{tmp_path}/{files}"
+        for i in range(files):   # one after another, as files arrive in the order of their times
+            part = clips[i * 4 // files:(i + 1) * 4 // files]
+            spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            time.sleep(0.05)
+        store, log = LedgerStore(spark, f"{root}/ledger"), f"{root}/outcomes"
+        stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        convert_stream(stream, store, log, f"{root}/progress", "r", "m", 100_000,
+                       lambda df: df.withColumn("error", F.lit(None).cast("string")), noon()).awaitTermination()
+        got.append(rows(read_outcomes(spark, log), "source_file", "error"))
+    assert got[0] == got[1] == got[2]
+    assert set(got[0]) == {("a.wav", None), ("b.wav", None), (None, "budget")}
+
+
 def test_conversion_in_flushes(spark, tmp_path):
     sources = [(f"s{i:03d}.wav", 30_000 + i) for i in range(20)]
     table = spark.createDataFrame(sources, "source_file string, duration_ms bigint")

@@ -213,6 +213,30 @@ def test_errors_are_values(spark):
     assert rows(log, "line", "at")[0] == ("v|clip002.wav|broken", "now")
 
 
+def test_passing_columns_stay_as_they_are(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([((1 << 53) + 1, [1, None]), (None, None)], "n bigint, a array<int>")
+    seen = convert_rows(df, lambda _, row: {"kind": f"{type(row['n']).__name__}"},
+                        T.StructType([T.StructField("kind", T.StringType())]))
+    assert rows(seen) == [((1 << 53) + 1, [1, None], "int", None), (None, None, "NoneType", None)]
+
+
+def test_voices_are_numbered_inside(spark):
+    clips, voices = clip_table(spark, 6), spark.createDataFrame([(1, "a"), (2, "b"), (7, "c")], "ord bigint, voice string")
+    dealt = assign_stratified(clips, voices, "filename")
+    assert rows(dealt.groupBy("voice").count()) == [("a", 2), ("b", 2), ("c", 2)]
+    assert assign_cross(clips, voices).count() == 18
+
+
+def test_limits_break_ties_alike(spark, monkeypatch):
+    from clipledger.operators import ordering
+    df = spark.createDataFrame([("v", 1, i) for i in range(40)], "voice string, k int, i int")
+    first = rows(limit_per_voice(df, 7, "k"))
+    head = rows(ordering.take_first(df, 5, "k"))
+    monkeypatch.setattr(ordering, "TOP_K_ROWS", 0)
+    assert rows(limit_per_voice(df, 7, "k")) == first and rows(ordering.take_first(df, 5, "k")) == head
+
+
 @pytest.mark.parametrize("wanted, tried", [(0, 0), (3, 5), (6, 11), (50, 12)])
 def test_convert_until(spark, wanted, tried):
     """Every other clip fails, so more are tried than wanted, but none too many."""
