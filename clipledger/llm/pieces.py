@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipledger.llm.tokens import slices
+
 CACHE_ENTRIES = 400_000   # stretches a worker remembers before it starts anew
 LONG = 48                 # characters from which a heap finds the best merge
 
@@ -349,8 +351,7 @@ def encode_decode(docs: DataFrame, model: bytes) -> DataFrame:
     def run(batches):
         own = piece_model(shared.value)
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                rows = batch.slice(part, 256)
+            for rows in slices(batch):
                 texts = rows.column(1).to_pylist()
                 ids = [own.encode(t) for t in texts]
                 starts = [own.spans(t, i).tobytes() for t, i in zip(texts, ids)]

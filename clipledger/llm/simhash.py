@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.common import carried, lookup_counted, partitions
+from clipledger.llm.tokens import slices
 from clipledger.session import stored
 
 BITS = 64
@@ -55,10 +56,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ())
     """Per row: doc_id, fp (the 64 bits as a signed long) and the struct `carried`."""
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("carried"), pa.array(fps.view(np.int64))],
-                ["doc_id", "carried", "fp"])
+            for part in slices(batch):
+                fps = np.array([fingerprint(t, shingle) for t in part.column("text").to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("carried"), pa.array(fps.view(np.int64))],
+                    ["doc_id", "carried", "fp"])
 
     rows = docs.select("doc_id", "text", carried(carry))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}

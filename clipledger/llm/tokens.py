@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20   # bytes whose intermediate arrays are held at a time; a longer text is one chunk
+CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time; a longer text is one chunk
 
 # The white space of the contracts.
 SPACE = np.zeros(256, bool)
@@ -37,6 +39,19 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         yield first, len(texts)
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `size` bytes in `column`, so that little is held as Python values."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    first = held = 0
+    for i, n in enumerate(lengths):
+        if i > first and held + n > size:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 class Spans:
     """Words of some texts: the joined bytes, word bounds, and the text each word is in."""
 
