@@ -126,12 +126,14 @@ def decollide_names(located: DataFrame) -> DataFrame:
     rounds are needed only while names of different bases meet.
     """
     base = F.concat(stem("filename"), F.lit("_"), voice_slug("voice_model"), suffix("filename"))
+    # The sorts carry only what a name depends on; the other columns join at the end.
+    narrow = located.select("entry_seq", "filename", "label", "voice_model")
     # Stored, as three reads follow and each would repeat the window.
     rows = stored(
-        running(located, ["filename"], ["entry_seq"], nth=("count", F.lit(1)))
+        running(narrow, ["filename"], ["entry_seq"], nth=("count", F.lit(1)))
         .withColumns({"base": base, "ext": suffix("filename")}), "nth")
     late = ~is_real() & (F.col("nth") > 1)
-    columns = [*located.columns, *_LADDER, "rung"]
+    columns = [*narrow.columns, *_LADDER, "rung"]
     kept = rows.where(~late).withColumn("rung", F.lit(0).cast("bigint")).select(columns)
     ranked = running(rows.where(late).drop("nth"), _LADDER, ["entry_seq"],
                      rung=("count", F.lit(1))).select(columns)
@@ -147,8 +149,11 @@ def decollide_names(located: DataFrame) -> DataFrame:
         if contested.isEmpty():
             break
         state = stored(_climb(state, contested), "names")
-    return state.select(
-        *located.columns, "name", (F.col("name") != F.col("filename")).alias("renamed"))
+    named = state.select(*narrow.columns, "name", (F.col("name") != F.col("filename")).alias("renamed"))
+    others = [c for c in located.columns if c not in narrow.columns]
+    if others:
+        named = named.join(located.select("entry_seq", *others), "entry_seq")
+    return named.select(*located.columns, "name", "renamed")
 
 
 def flat_path(label_col: str = "label", name_col: str = "name"):

@@ -40,18 +40,21 @@ def pending_by_output(assigned: DataFrame, outputs: DataFrame, root: str) -> Dat
         "target_path", target_path(root, "voice", "filename"))
 
 
-def plan_counts(assigned: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Per voice: assigned, skipped, pending.
+def plan_counts(assigned: DataFrame, outputs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Per voice: assigned, skipped, pending and, under a limit, admitted.
 
-    Both sides are reduced to unique (voice, filename) before they meet.
+    Both sides are reduced to unique (voice, filename) before they meet.  The
+    first `limit` pending rows are admitted, so counting them needs no order.
     """
     key = ["voice", "filename"]
     done = distinct_keys(outputs, *key).withColumn("__done", F.lit(True))
     work = assigned.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
     skipped = F.coalesce(F.sum(F.when(F.col("__done"), F.col("__n"))), F.lit(0))
-    return work.join(done, key, "left").groupBy("voice").agg(
+    counts = work.join(done, key, "left").groupBy("voice").agg(
         F.sum("__n").alias("assigned"), skipped.alias("skipped"),
         (F.sum("__n") - skipped).alias("pending"))
+    return counts if limit is None else counts.withColumn(
+        "admitted", F.least("pending", F.lit(limit).cast("bigint")))
 
 
 def cross_plan_counts(clips: DataFrame, voices: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions.fields import entries
@@ -10,11 +12,14 @@ from clipledger.functions.paths import speech_name, wav_for_engine_clip
 from clipledger.functions.signal import downmix, quantise
 from clipledger.operators.names import sequence_assign
 from clipledger.operators.ordering import keep_first
-from clipledger.operators.outcomes import successes
-from clipledger.operators.pending import head_limit, pending_by_key, set_difference
+from clipledger.operators.outcomes import convert_until, successes
+from clipledger.operators.pending import head_limit, pending_by_key, pending_members, set_difference
 from clipledger.schema import (
     FAKE, IMPORT_TIME, METHOD_SAMPLES, METHOD_SPEECH, REAL,
 )
+from clipledger.sources.archives import archive_members
+
+CLIP_SUFFIX = ".mp3"   # fixed value: what corpora store clips as
 
 
 def signal_levels(frames: Column) -> Column:
@@ -51,6 +56,24 @@ def sample_entries(outcomes: DataFrame, target: int, done: int, start: int,
                    generated_at=generated_at)
 
 
+def run_extraction(spark: SparkSession, archives: list[str], existing: DataFrame, wanted: int,
+                   convert: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """Outcomes of the clips among archive members until `wanted` are extracted, in archive order.
+
+    existing: filename of the clips extracted before.  `convert` gets archive,
+    seq, member, wav_name and content, and adds `error`.  Names are listed
+    without payloads first; payloads are read for the members still wanted.
+    """
+    names = archive_members(spark, archives, CLIP_SUFFIX, content=False)
+    work = pending_members(names, existing).select("archive", "seq", "member", "wav_name")
+
+    def with_payload(part: DataFrame) -> DataFrame:
+        payloads = archive_members(spark, archives, CLIP_SUFFIX).select("archive", "seq", "content")
+        return convert(part.join(payloads, ["archive", "seq"])).drop("content")
+
+    return convert_until(work, wanted, with_payload, "archive", "seq")
+
+
 def engine_entries(clips: DataFrame, manifest: DataFrame) -> DataFrame:
     """Rows for imported (engine, path) clips that are not in the manifest."""
     offered = entries(

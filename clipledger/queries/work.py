@@ -52,11 +52,7 @@ from n group by voice
 def plan_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips dealt to voices in turn, finished ones left out, ten per voice let in."""
     work = assign_stratified(clips(spark, sf_dir), voices(spark, sf_dir), "filename")
-    have = outputs(spark, sf_dir)
-    admitted = per_voice(set_difference(work, have, "voice", "filename"), 10, "filename")
-    return plan_counts(work, have).join(
-        admitted.groupBy("voice").agg(F.count(F.lit(1)).alias("admitted")), "voice", "left"
-    ).withColumn("admitted", F.coalesce("admitted", F.lit(0)))
+    return plan_counts(work, outputs(spark, sf_dir), limit=10)
 
 
 @query(f"""

@@ -29,11 +29,7 @@ ENGINES = ["edge", "google", "gtts", "polly"]
 ENGINE_TREE = "golden_audio"
 SEQUENCE_PREFIX = "tagarela_"
 DEFAULT_CLIP_SECONDS = 10.7
-DEFAULT_CLIP_MS = 10_700
-DEFAULT_BUDGET_MINUTES = 540
 BUDGET_FLOOR_MS = 60_000
-SAMPLE_TARGET = 18_750
-ARCHIVE_TARGET = 8_000
 TEST_LIMIT = 5
 CHAR_QUOTA = 10_000
 MAX_ATTEMPTS = 3

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: dict[str, str] = {}
-
 
 def build_session(app: str = "clipledger", cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "16g") -> SparkSession:
@@ -32,8 +29,9 @@ def build_session(app: str = "clipledger", cores: int | str = "*", shuffle_parti
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir.
 
-    Only a local session without that setting gets a temporary folder of its
-    own; on a cluster a machine-local folder would be lost with its machine.
+    A local session without that setting gets it set to a temporary folder; on
+    a cluster a machine-local folder would be lost with its machine, so there a
+    missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
@@ -41,9 +39,9 @@ def shared_folder(spark: SparkSession) -> str:
         return f"{named.rstrip('/')}/clipledger-{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if app not in _own_folder:
-        _own_folder[app] = tempfile.mkdtemp(prefix="clipledger-")
-    return _own_folder[app]
+    # One machine is all there is; the setting is made, so that every reader of it agrees.
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clipledger-"))
+    return shared_folder(spark)
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
@@ -68,5 +66,3 @@ def release(spark: SparkSession) -> None:
     delete(spark, shared_folder(spark))
 
 
-def local_cores() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tarfile
 from collections.abc import Iterator
 
@@ -62,7 +63,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def as_uri(path: str, default: str = "file:///") -> str:
     """The path with its scheme; one without belongs to the file system `default`."""
     if "://" not in path and not path.startswith("file:/"):
-        path = default.rstrip("/") + path if not default.startswith("file:") else f"file://{path}"
+        path = f"file://{path}" if default.startswith("file:") else default.rstrip("/") + path
+    path = re.sub("^file:/+", "file:///", path)
     return path.replace("s3a://", "s3://")
 
 
