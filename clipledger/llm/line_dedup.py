@@ -35,11 +35,12 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, carry: tuple[str, ...
     keyed = rows.select(*row_key(F.col("doc_id"), F.col("text")),
                         F.transform(F.split("text", "\n"), _line_key).alias("keys"))
     common = stored(
-        keyed.select(F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
+        # Outer, as a filter on the array would be put before it and hash all lines once more.
+        keyed.select(F.explode_outer(F.array_distinct("keys")).alias("key")).where("key is not null")
         .groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs)
         .withColumn("common", F.lit(True)),
         "common-lines")
-    places = keyed.select("__k1", "__k2", F.posexplode("keys").alias("pos", "key")).where("key is not null")
+    places = keyed.select("__k1", "__k2", F.posexplode_outer("keys").alias("pos", "key")).where("key is not null")
     dropped = (
         lookup_counted(places, common, "key", "n_docs", ["common"],
                        F.concat(F.lit("~"), F.xxhash64("__k1", "pos").cast("string")))
