@@ -8,7 +8,7 @@ from brute import lower, same, words
 
 from clipledger.llm.line_dedup import drop_common_lines
 from clipledger.llm.quality_classifier import classify, fit, score
-from clipledger.llm.quality_rules import apply_rules, cascade_order, default_rules, measures
+from clipledger.llm.quality_rules import apply_rules, cascade_order, default_rules
 
 
 def _measures(text):
@@ -34,7 +34,7 @@ def test_rule_order_changes_no_verdict(docs):
     other = apply_rules(docs, rules[::-1], sample_rows=3)
     assert sorted(map(str, one.select("doc_id", "kept").collect())) == sorted(map(str, other.select("doc_id", "kept").collect()))
     assert one.where("base_failed and kept").count() == 0
-    assert {r.name for r in cascade_order(measures(docs), rules)} == {r.name for r in rules}
+    assert {r.name for r in cascade_order(docs, rules)} == {r.name for r in rules}
 
 
 def test_rules_tell_junk_from_prose(spark):
