@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from clipledger.session import stored
 
-BATCH_BYTES = 8 << 20    # text in a batch; a longer text has one of its own
+BATCH_BYTES = 4 << 20    # text in a batch; a longer text has one of its own
 PART_BYTES = 16 << 20    # text whose keys one part owns, on average
 
 
@@ -82,11 +82,13 @@ def ask(batches: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]],
     """
     def send(stream):
         for table in stream:
-            for row in table.to_pylist():
+            for row in (table.slice(i, 1).to_pylist()[0] for i in range(table.num_rows)):
                 sent = list(request(from_blob(row["blob"]), *[row[c] for c in extra]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["batch"]] * len(sent), pa.int64()), pa.array([p for p, _ in sent], pa.int32()),
                      pa.array([m for _, m in sent], pa.binary())], ["batch", "part", "payload"])
+                del sent
+                pa.default_memory_pool().release_unused()   # the worker lives on beside the next stages
 
     def reply(table: pa.Table) -> pa.Table:
         table = table.sort_by("batch")   # not the order of arrival, which another attempt may change
@@ -119,7 +121,9 @@ def tell(batches: DataFrame, answers: DataFrame, work: Callable[..., pa.Table],
     def run(own: pa.Table, told: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         replies = dict(zip(told.column("part").to_pylist(), told.column("payload").to_pylist()))
-        return work(from_blob(row["blob"]), replies, *[row[c] for c in extra])
+        out = work(from_blob(row["blob"]), replies, *[row[c] for c in extra])
+        pa.default_memory_pool().release_unused()
+        return out
 
     return batches.select("batch", "blob", *extra).groupBy("batch").cogroup(
         answers.groupBy("batch")).applyInArrow(run, schema)
