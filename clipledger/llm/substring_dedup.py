@@ -12,7 +12,7 @@ fixed by the window, and the smallest of them (by hash) anchors it.
 
 Round by round over the whole table: batches ask which anchors, each with the
 words around it, are found anywhere else; the windows on shared anchors ask, by
-128 bits of all their words, whether the same sequence starts earlier; those
+96 bits of all their words, whether the same sequence starts earlier; those
 that do cover the words to remove.  The parts that answer are dealt out by hash.
 """
 
