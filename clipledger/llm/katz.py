@@ -28,6 +28,7 @@ from clipledger.llm.common import held_out
 from clipledger.llm.tokens import Spans, chunks, mixed
 from clipledger.session import stored
 
+BATCH_BYTES = 8 << 20   # text in a batch: larger ones ask for fewer keys in all, smaller ones hold less
 LARGEST = 5          # counts up to here are discounted by Good-Turing, larger ones by as much as this one
 FOLDS = 10           # one in so many rows is held out
 SMOOTH = 0.1         # of the base score
@@ -277,7 +278,7 @@ def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     """
     rows = docs.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    batches = pack(rows, tag="texts")
+    batches = pack(rows, tag="texts", batch_bytes=BATCH_BYTES)
     parts = parts_for(batches)
     counts = stored(ask(batches, _ask_counts(parts), _answer_counts), "counts")
     stats = _statistics(counts)
