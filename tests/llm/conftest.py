@@ -64,4 +64,4 @@ def small_batches(monkeypatch):
     from clipledger.llm import batches, katz, substring_dedup
 
     for module in (katz, substring_dedup):
-        monkeypatch.setattr(module, "pack", lambda rows, tag: batches.pack(rows, tag=tag, batch_bytes=3_000))
+        monkeypatch.setattr(module, "pack", lambda rows, tag, batch_bytes=0: batches.pack(rows, tag=tag, batch_bytes=3_000))
