@@ -6,7 +6,7 @@ from pathlib import PurePath
 
 import numpy as np
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.functions import paths

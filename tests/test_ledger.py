@@ -1,6 +1,6 @@
 """Merging, locating, pairing, transcripts and whole plans."""
 
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.functions.fields import entries

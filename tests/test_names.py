@@ -5,7 +5,7 @@ import random
 from pathlib import PurePath
 
 import pytest
-from conftest import rows
+from compare import rows
 
 from clipledger.operators.names import (
     decollide_names, flatten_counts, next_index, sequence_assign,

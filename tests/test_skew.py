@@ -1,7 +1,7 @@
 """The hot-key path of the joins gives what the plain path gives."""
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.operators import skew

@@ -5,7 +5,7 @@ import tarfile
 import wave
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.schema import ENGINES, LEDGER, MANIFEST_FIELDS

@@ -2,7 +2,7 @@
 
 import time
 
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.schema import SAMPLES
