@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipledger.llm.byte_pieces import encode_bytes
 from clipledger.llm.common import documents
 from clipledger.llm.exact_dedup import exact_groups
 from clipledger.llm.katz import score_texts
@@ -73,10 +74,24 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir), folds=10)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None,
+                  pattern: str | None = None) -> DataFrame:
+    if ranks_path is None or pattern is None:
+        import public_tokenizers
+
+        ranks_path = ranks_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+        pattern = pattern or public_tokenizers.PATTERN
+    with open(ranks_path, "rb") as f:   # a tokenizer file of the installation, read on the driver
+        ranks = f.read()
+    return encode_bytes(documents(spark, sf_dir), ranks, pattern).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op7_packing,
-        op8_exact_dedup, op9_sentencepiece, op10_lm_scoring)}
+        op8_exact_dedup, op9_sentencepiece, op10_lm_scoring, op12_byte_bpe)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
