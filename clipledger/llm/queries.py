@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.llm.byte_pieces import encode_bytes
-from clipledger.llm.common import documents
+from clipledger.llm.collocations import collocations
+from clipledger.llm.common import documents, words
 from clipledger.llm.exact_dedup import exact_groups
 from clipledger.llm.katz import score_texts
 from clipledger.llm.line_dedup import drop_common_lines
@@ -16,6 +17,7 @@ from clipledger.llm.packing import pack_lengths
 from clipledger.llm.pieces import encode_decode
 from clipledger.llm.quality_classifier import classify
 from clipledger.llm.quality_rules import apply_rules
+from clipledger.llm.runs import periodic_runs
 from clipledger.llm.sharding import shard_documents
 from clipledger.llm.simhash import near_duplicates
 from clipledger.llm.substring_dedup import remove_repeats
@@ -74,6 +76,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir), folds=10)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir), least=10, inside_percent=50, top=2_000)
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None,
                   pattern: str | None = None) -> DataFrame:
     if ranks_path is None or pattern is None:
@@ -88,10 +94,38 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = Non
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """One in ten texts, by a checksum of the id, with its words from word a on replaced by a repeated stretch of p."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", number.alias("h"), F.floor(number / 10).alias("g")).withColumn(
+        "ws", F.when(F.col("h") % 10 == 0, words(F.col("text"))))
+    n = F.size("ws")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn(
+        "p", F.lit(1) + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    source = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.when(
+        i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    again = F.array_join(F.transform(source, lambda i: F.get("ws", i.cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_made_periodic(documents(spark, sf_dir)), least=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_sharding, op3_substring_dedup, op4_line_dedup, op5_simhash, op6_quality_classifier, op7_packing,
-        op8_exact_dedup, op9_sentencepiece, op10_lm_scoring, op12_byte_bpe)}
+        op8_exact_dedup, op9_sentencepiece, op10_lm_scoring, op11_collocations,
+        op12_byte_bpe, op13_periodic_runs)}
 
 _STRIP = r"regexp_replace({0}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -164,4 +198,49 @@ ORACLES: dict[str, str] = {
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
                row_number() over (partition by t order by doc_id desc) = 1 as kept, sha256(t) as text_sha256
         from n""",
+    "op11_collocations": rf"""
+        with piece as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from (
+                select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                    {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece
+                from documents)),
+        one as (select lang, w, count(*) as f from (select lang, unnest(ws) as w from piece) group by lang, w),
+        total as (select lang, sum(f)::bigint as n from one group by lang),
+        two as (
+            select lang, a, b, count(*) as f from (
+                select lang, ws[i] as a, ws[i + 1] as b
+                from (select lang, ws, unnest(range(1, len(ws))) as i from piece))
+            group by lang, a, b having count(*) >= 10),
+        three as (
+            select lang, a, b, c, count(*) as f from (
+                select lang, ws[i] as a, ws[i + 1] as b, ws[i + 2] as c
+                from (select lang, ws, unnest(range(1, len(ws) - 1)) as i from piece))
+            group by lang, a, b, c having count(*) >= 10),
+        longer as (
+            select lang, a, b, max(f) as f from (
+                select lang, a, b, f from three union all select lang, b, c, f from three)
+            group by lang, a, b),
+        cuts as (
+            select t.lang, a || ' ' || b as phrase, t.f as a, x.f as l, y.f as r, 1 as k
+            from two t join one x on t.lang = x.lang and a = x.w join one y on t.lang = y.lang and b = y.w
+            where not exists (
+                select 1 from longer g where g.lang = t.lang and g.a = t.a and g.b = t.b and 100 * g.f >= 50 * t.f)
+            union all
+            select t.lang, t.a || ' ' || t.b || ' ' || c, t.f, x.f, y.f, 1
+            from three t join one x on t.lang = x.lang and t.a = x.w
+                join two y on t.lang = y.lang and t.b = y.a and t.c = y.b
+            union all
+            select t.lang, t.a || ' ' || t.b || ' ' || c, t.f, x.f, y.f, 2
+            from three t join two x on t.lang = x.lang and t.a = x.a and t.b = x.b
+                join one y on t.lang = y.lang and t.c = y.w),
+        scored as (
+            select *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint as score,
+                   row_number() over (
+                       partition by lang, phrase order by 1000000::hugeint * a * a // (l::hugeint * r), k) as nth
+            from cuts),
+        ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+            from scored where nth = 1)
+        select r.lang, rank, phrase, a, l, r.r, n, score
+        from ranked r join total t on r.lang = t.lang where rank <= 2000""",
 }

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time; a longer text is one chunk
 
@@ -14,7 +15,7 @@ CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time;
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))   # a base for each lane
+_SEEDS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)   # of the lanes
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -67,21 +68,21 @@ class Spans:
         self.text = np.searchsorted(self.ends, self.start, side="right")
         self.counts = np.bincount(self.text, minlength=len(texts))
 
-    def hashes(self, lane: int = 0, lower: bool = False) -> np.ndarray:
-        """64-bit hash of every word; lanes are independent of each other."""
-        data = self.data.astype(np.uint64)
+    def words(self, lower: bool = False) -> pa.Array:
+        """The words as bytes; `lower` puts A-Z in lower case."""
+        data = self.data
         if lower:
-            data += ((self.data >= 65) & (self.data <= 90)).astype(np.uint64) * np.uint64(32)
-        base = _ODD[lane] | np.uint64(1)
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        n = len(data) + 1
-        power = np.full(n, base, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        sums = np.zeros(n, np.uint64)
-        np.cumsum(mixed(data + np.uint64(lane * 256 + 1)) * power[:-1], out=sums[1:])
-        back = np.full(n, inverse, np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        length = (self.end - self.start).astype(np.uint64)
-        return mixed((sums[self.end] - sums[self.start]) * back[self.start] + mixed(length))
+            data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+        ends = np.concatenate(([0], np.cumsum(self.end - self.start)))
+        wide = ends[-1] >= 1 << 31
+        return pa.Array.from_buffers(
+            pa.large_binary() if wide else pa.binary(), len(self.start),
+            [None, pa.py_buffer(ends.astype(np.int64 if wide else np.int32)), pa.py_buffer(data[~SPACE[data]])])
+
+    def hashes(self, lane: int = 0, lower: bool = False) -> np.ndarray:
+        """64-bit hash of every word; lanes are independent of each other.  Each distinct word is hashed once."""
+        coded = self.words(lower).dictionary_encode()
+        seed = _SEEDS[lane]
+        distinct = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in coded.dictionary.to_pylist()), np.uint64,
+                               len(coded.dictionary))
+        return distinct[coded.indices.to_numpy()]
