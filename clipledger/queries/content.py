@@ -24,7 +24,7 @@ from clipledger.operators.transcripts import match_transcripts, unmatched_clips
 from clipledger.queries.bindings import STAMP, clips, doc_name, table
 from clipledger.queries.registry import query
 from clipledger.session import new_path
-from clipledger.sources.samples import sample_stream
+from clipledger.sources.samples import arriving, sample_stream
 from clipledger.sources.store import LedgerStore
 from clipledger.sources.tables import (
     sentences_scan, sentences_write, transcript_scan,
@@ -364,7 +364,8 @@ def accent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = LedgerStore(spark, f"{root}/ledger")
     for run in ("first", "again"):
         stream = sample_stream(spark, _document_files(sf_dir), "en", schema, "lang").select(
-            "doc_id", F.when(F.col("doc_id") % 10 != 7, F.concat_ws("/", "source", "doc_id")).alias("source_file"))
+            "doc_id", F.when(F.col("doc_id") % 10 != 7, F.concat_ws("/", "source", "doc_id")).alias("source_file"),
+            "arrival")
         ingest_stream(
             stream, store, f"{root}/progress-{run}", target=None,
             prepare=lambda df: df.join(bad, "doc_id", "left"),
@@ -390,7 +391,7 @@ def ingest_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in ("first", "again"):
         stream = sample_stream(
             spark, _document_files(sf_dir), "en", _documents_schema(spark, sf_dir), "lang").select(
-            "doc_id", F.concat_ws("/", "lang", "doc_id").alias("source_file"))
+            "doc_id", F.concat_ws("/", "lang", "doc_id").alias("source_file"), "arrival")
         ingest_stream(
             stream, store, f"{root}/progress-{run}", target,
             prepare=lambda df: df.join(bad, "doc_id", "left"),
@@ -424,9 +425,8 @@ def budget_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc_name("doc_id").alias("source_file"), F.lit("refused").alias("error"))
     root = new_path(spark, "revoicing")
     store = LedgerStore(spark, f"{root}/ledger")
-    sources = spark.readStream.schema(_documents_schema(spark, sf_dir)).parquet(
-        _document_files(sf_dir)).select(
-        doc_name("doc_id").alias("source_file"), F.col("n_chars").alias("duration_ms"))
+    sources = arriving(spark, _document_files(sf_dir), _documents_schema(spark, sf_dir)).select(
+        doc_name("doc_id").alias("source_file"), F.col("n_chars").alias("duration_ms"), "arrival")
     convert_stream(
         sources, store, f"{root}/outcomes", f"{root}/progress", "run", "matilda", _STREAM_BUDGET,
         lambda df: df.join(bad, "source_file", "left"),

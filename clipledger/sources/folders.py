@@ -29,6 +29,34 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: it is renamed when it is complete."""
+    fs, p = _fs(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.part")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(part, p):
+        raise OSError(f"could not write {path}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -1,66 +1,113 @@
-"""The ledger as Parquet: append to the newest version, rewrite as a new one."""
+"""The ledger as Parquet: appends to the newest version, rewrites as a new one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipledger.schema import LEDGER
-from clipledger.sources.folders import exists, subfolders
+from clipledger.functions.paths import sequence_index
+from clipledger.schema import LEDGER, METHOD_SAMPLES
+from clipledger.sources.commits import Commit, CommitLog, Marker
+from clipledger.sources.folders import subfolders
 
 # Pruned by the counts and anti-joins that ask for one label or method.
-_PARTS = ["label", "method"]
+_PARTS = ("label", "method")
+_COUNTS = "label string, method string, voice_model string, entries bigint, last_seq bigint, last_index bigint"
+_TABLES = {"rows": (LEDGER, _PARTS), "counts": (_COUNTS, ())}
 
 
 class LedgerStore:
-    """Versions v00000001, v00000002, ... below one root; readers take the newest
-    that was completed, so a failed rewrite is never seen and a running plan
-    never reads what it overwrites."""
+    """Versions v00000001, v00000002, ... below one root, each a log of commits.
+
+    Readers take the newest version with a commit, and of it what is
+    committed, so neither a failed rewrite nor half an append is ever seen.
+    Every commit keeps its counts by label, method and voice, and the markers
+    keep the next numbers, so appending and counting do not read the ledger.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _log(self, version: int) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/v{version:08d}")
+
+    def _newest(self) -> tuple[int, Marker]:
+        """The newest version with a commit and its marker; version 0 where there is none."""
+        for name in sorted((v for v in subfolders(self.spark, self.root) if v[:1] == "v"), reverse=True):
+            marker = self._log(int(name[1:])).newest()
+            if marker.live:
+                return int(name[1:]), marker
+        return 0, Marker(-1, [], {}, {})
+
     def version(self) -> int:
-        done = [v for v in subfolders(self.spark, self.root)
-                if v.startswith("v") and exists(self.spark, f"{self.root}/{v}/_SUCCESS")]
-        return int(max(done)[1:]) if done else 0
+        return self._newest()[0]
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/v{version:08d}"
+    def position(self) -> tuple[int, int]:
+        """Version and newest commit: grows with every write."""
+        version, marker = self._newest()
+        return version, marker.number
 
-    def read(self) -> DataFrame:
-        version = self.version()
-        if version == 0:
+    def _rows(self, version: int, commits: list[Commit]) -> DataFrame:
+        if not commits:
             return self.spark.createDataFrame([], LEDGER)
-        table = self.spark.read.schema(LEDGER).parquet(self._path(version))
+        table = self._log(version).read("rows", LEDGER, commits)
         # A blank partition value comes back as NULL.
         return table.withColumns({c: F.coalesce(c, F.lit("")) for c in _PARTS}).select(LEDGER.names)
 
-    def _write(self, rows: DataFrame, version: int, mode: str) -> None:
-        rows.select(LEDGER.names).write.partitionBy(*_PARTS).mode(mode).parquet(
-            self._path(version))
-
-    def append(self, rows: DataFrame) -> None:
-        self._write(rows, max(self.version(), 1), "append")
+    def read(self) -> DataFrame:
+        version, marker = self._newest()
+        return self._rows(version, marker.live)
 
-    def append_once(self, rows: DataFrame, tag: str) -> None:
-        """Append rows with new entry numbers exactly once for `tag`, however often it is called.
+    def added_since(self, position: tuple[int, int], stream: str) -> DataFrame | None:
+        """Rows that others than `stream` may have added since `position`; None if there are none.
 
-        They are staged under the tag first.  A call that finds them staged
-        by an earlier one adds them only if the ledger does not have their
-        first number yet, which is the case if that call was cut short.
+        After a rewrite that is every row.
         """
-        staged = f"{self.root}/staged/{tag}"
-        if not exists(self.spark, f"{staged}/_SUCCESS"):
-            rows.select(LEDGER.names).write.mode("overwrite").parquet(staged)
-        held = self.spark.read.schema(LEDGER).parquet(staged)
-        first = held.agg(F.min("entry_seq").alias("first")).first()["first"]
-        if first is not None and self.read().where(F.col("entry_seq") == first).isEmpty():
-            self.append(held)
-
-    def has_staged(self, tag: str) -> bool:
-        return exists(self.spark, f"{self.root}/staged/{tag}/_SUCCESS")
+        version, marker = self._newest()
+        since = position[1] if position[0] == version else -1
+        others = [c for c in marker.live if c.number > since and c.stream != stream]
+        return self._rows(version, others) if others else None
+
+    def counts(self, *by: str) -> DataFrame:
+        """Entries by some of label, method and voice_model, from the counts of the commits."""
+        version, marker = self._newest()
+        kept = self._log(version).read("counts", _COUNTS, marker.live)
+        return kept.groupBy(*by).agg(F.coalesce(F.sum("entries"), F.lit(0)).alias("entries"))
+
+    def state(self) -> dict:
+        """next_seq, samples (how many there are) and next_index (of the next sample's name)."""
+        return {"next_seq": 0, "samples": 0, "next_index": 0} | self._newest()[1].state
+
+    def _write(self, version: int, before: Marker, rows: DataFrame, state: dict,
+               stream: str | None = None, batch: int = 0) -> None:
+        log, number = self._log(version), before.number + 1
+        path = log.write(number, "rows", rows.select(LEDGER.names), _PARTS)
+        written = self.spark.read.schema(LEDGER).parquet(path)
+        blank = {c: F.coalesce(c, F.lit("")) for c in (*_PARTS, "voice_model")}
+        log.write(number, "counts", written.withColumns(blank).groupBy(*blank).agg(
+            F.count(F.lit(1)).alias("entries"), F.max("entry_seq").alias("last_seq"),
+            F.max(F.when(F.col("method") == METHOD_SAMPLES, sequence_index("filename"))).alias("last_index")))
+        new = log.read("counts", _COUNTS, [Commit(number, 0, stream)]).agg(
+            F.max("last_seq").alias("seq"), F.max("last_index").alias("index"),
+            F.sum(F.when(F.col("method") == METHOD_SAMPLES, F.col("entries"))).alias("samples")).first()
+        log.mark(before, {
+            "next_seq": max(state["next_seq"], -1 if new["seq"] is None else new["seq"] + 1),
+            "samples": state["samples"] + (new["samples"] or 0),
+            "next_index": max(state["next_index"], -1 if new["index"] is None else new["index"] + 1)}, stream, batch)
+        log.fold(_TABLES)
+
+    def append(self, rows: DataFrame, stream: str | None = None, batch: int = 0) -> None:
+        """Append rows, all or none; those of one batch of a stream once, however often this is called."""
+        version, before = self._newest()
+        if stream is not None and before.streams.get(stream, -1) >= batch:
+            return
+        self._write(max(version, 1), before, rows, self.state(), stream, batch)
+
+    def has(self, stream: str, batch: int) -> bool:
+        return self._newest()[1].streams.get(stream, -1) >= batch
 
     def rewrite(self, rows: DataFrame) -> None:
-        # Overwrites only what an earlier failed attempt at this version left.
-        self._write(rows, self.version() + 1, "overwrite")
+        """Replace all rows; which batches are in it stays known."""
+        version, before = self._newest()
+        # Numbers start anew: the folder may hold what an earlier failed attempt left.
+        self._write(version + 1, Marker(-1, [], before.streams, {}), rows, {"next_seq": 0, "samples": 0, "next_index": 0})

@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.operators.assign import assign, assign_cross, assign_stratified
-from clipledger.operators.budget import budget_estimate, budget_plan, budget_used
+from clipledger.operators.budget import Step, Usage, budget_estimate, budget_plan, budget_used
 from clipledger.operators.outcomes import (
     convert_rows, convert_until, error_log, failures, resolve_attempts, successes, with_error,
 )
@@ -153,6 +154,50 @@ def test_budget_against_loop(spark, seed):
     assert budget_used(plan).first()["used_ms"] == used
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_budget_of_many_voices(spark, seed):
+    """After the first stop hundreds of voices share what is left; some clips have no length, some voices only such."""
+    rng = random.Random(seed)
+    entries = []
+    for v in range(400):
+        for c in range(rng.randrange(1, 9)):
+            ms = None if v % 50 == 7 or rng.random() < 0.1 else rng.choice([0, 1, 40, rng.randrange(1, 60_000)])
+            entries.append((3 * v, c, ms, "x" if rng.random() < 0.3 else None))
+    limit, floor = rng.choice([(300_000, 0), (2_000_000, 1), (900_000, 700), (20_000, 5)])
+    plan = budget_plan(spark.createDataFrame([*entries, (None, 0, 1, None)], BUDGET).repartition(7), limit, "clip", floor_ms=floor)
+    want, used = budget_by_hand([(v, c, 10_700 if ms is None else ms, bad) for v, c, ms, bad in entries], limit, floor)
+    assert len({t for t, _, _ in want}) > 2
+    assert sorted(tuple(r) for r in plan.select("ord", "clip", "used_before_ms").collect()) == want
+    assert budget_used(plan).first()["used_ms"] == used
+
+
+def test_budget_of_voices_without_lengths(spark):
+    plan = budget_plan(spark.createDataFrame([(0, 0, None, None), (0, 1, None, None), (1, 0, None, None)], BUDGET),
+                       25_000, "clip", floor_ms=10)
+    assert rows(plan, "ord", "clip", "duration_ms", "used_before_ms") == [(0, 0, None, 0), (0, 1, None, 10_700)]
+
+
+def test_composed_use_of_a_budget():
+    """The composed function of random voices at every point."""
+    rng = random.Random(5)
+    for _ in range(200):
+        floor, top = rng.randrange(0, 20), rng.randrange(20, 120)
+        usage, voices = Usage(floor, top), []
+        for _ in range(rng.randrange(0, 12)):
+            need = sorted(rng.sample(range(0, 140), rng.randrange(0, 6)))
+            taken = sorted(rng.randrange(0, n + 1) for n in need)
+            total = need[-1] if need else 0
+            voices.append(Step(np.array(need, np.int64), np.array([*taken, total], np.int64), [None] * (len(need) + 1)))
+            voices[-1].taken[:] = np.minimum(voices[-1].taken, np.array([0, *need]))
+            usage.then(voices[-1])
+        for left in range(0, top + 1):
+            now = left
+            for step in voices:
+                if now >= floor:
+                    now -= step.at(now)[0]
+            assert usage.of(left) == left - now
+
+
 @pytest.mark.parametrize("entries, limit, want", [
     ([(0, 0, 60, None), (0, 1, 40, None)], 100, [(0, 0), (0, 1)]),       # exact fit
     ([(0, 0, 60, None), (0, 1, 50, None), (0, 2, 10, None)], 100, [(0, 0)]),  # stops that voice
