@@ -99,7 +99,7 @@ class Counted:
 
 def _distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found, at = np.unique(keys, return_inverse=True)
-    return found, at, np.bincount(at, train, len(found)).astype(np.uint32)
+    return found, at, np.bincount(at, train, len(found)).astype(np.int64)
 
 
 def _ask_counts(parts: int):
@@ -107,7 +107,7 @@ def _ask_counts(parts: int):
         c = Counted(table)
         # The begin context is counted as a word that no text can predict.
         words = np.concatenate(([START], c.words))
-        counts = np.concatenate(([c.starts], c.word_counts)).astype(np.uint32)
+        counts = np.concatenate(([c.starts], c.word_counts))
         by_word, by_pair = owners(words, parts), owners(c.pairs, parts)
         for part in np.flatnonzero((np.diff(by_word) > 0) | (np.diff(by_pair) > 0)).tolist():
             w, p = slice(*by_word[part:part + 2]), slice(*by_pair[part:part + 2])
@@ -137,8 +137,7 @@ def _answer_counts(messages: list[bytes]) -> list[bytes]:
     replies, a, b = [], 0, 0
     for s in sent:
         n, m = len(s[0]), len(s[2])
-        replies.append(_packed(totals[at[a:a + n]].astype(np.uint32), pair_totals[pair_at[b:b + m]].astype(np.uint32),
-                               first[b:b + m].astype(np.uint8)))
+        replies.append(_packed(totals[at[a:a + n]], pair_totals[pair_at[b:b + m]], first[b:b + m].astype(np.uint8)))
         a, b = a + n, b + m
     tokens = totals[words != START]
     small = [*np.bincount(tokens[tokens <= LARGEST + 1], minlength=LARGEST + 2)[1:],

@@ -159,3 +159,15 @@ def test_without_training_rows(docs, rows, none, model):
     assert {(r["train_tokens"], r["n_known"], r["score"]) for r in got} == {(0, 0, 0.0)}
     assert score_texts(none).count() == 0
     assert encode_decode(none, model).count() == 0
+
+
+def test_totals_beyond_32_bits():
+    import numpy as np
+
+    key, first = np.array([5], np.uint64), np.array([9], np.uint64)
+    message = katz._packed(key, np.array([3_000_000_000]), first, np.array([4_000_000_000]))
+    replies = katz._answer_counts([message, message])
+    for reply in replies[:2]:
+        words_, pairs, _ = katz._unpacked(reply)
+        assert words_.tolist() == [6_000_000_000] and pairs.tolist() == [8_000_000_000]
+    assert struct.unpack(">14q", replies[2])[-2:] == (6_000_000_000, 1)
