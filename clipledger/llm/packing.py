@@ -1,7 +1,7 @@
 """Batches of texts of like length, with as little padding as possible.
 
-The histogram of lengths over the whole table, some ten thousand entries at
-most, goes to the driver; dynamic programming over it picks the bucket bounds
+The histogram of lengths over the whole table, one entry for each length there
+is, goes to the driver; dynamic programming over it picks the bucket bounds
 with the least padding.  Inside a bucket, rows are numbered without a one-task
 window and cut into batches within the token budget.
 """
@@ -16,13 +16,13 @@ from clipledger.operators.ordering import global_position
 
 BUCKETS = 16
 BUDGET = 65_536      # tokens of a batch, padding included
-EXACT = 4_096        # longer lengths are rounded up by less than one part in so many
 
 
-def length_class(length: Column) -> Column:
-    """The length itself up to EXACT, and above it the next multiple of a power of two, so that all tables
-    have a bounded number of classes."""
-    step = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(F.greatest(length, F.lit(1)) / EXACT)), F.lit(0))).cast("long")
+def length_class(length: Column, exact: int | None = None) -> Column:
+    """The length itself; with `exact`, lengths above it share a class with those less than one part in so many off."""
+    if exact is None:
+        return length.cast("long")
+    step = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(F.greatest(length, F.lit(1)) / exact)), F.lit(0))).cast("long")
     return (F.ceil(length / step) * step).cast("long")
 
 
@@ -71,11 +71,12 @@ def bounds(histogram: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int
 
 
 def pack_lengths(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS,
-                 budget: int = BUDGET) -> DataFrame:
+                 budget: int = BUDGET, exact: int | None = None) -> DataFrame:
     """Per row: doc_id, length, bucket, padded (the bucket's length), batch and slot (place in the batch).
 
     length: tokens of a row, by default its words; null counts as 0.  A bucket
-    pads to the class of its longest length (see length_class).  Batches are
+    pads to the longest length it holds.  `exact` bounds the histogram, for lengths of
+    millions: it has one entry for each class of length_class.  Batches are
     numbered from 0 over all buckets; each has the most rows that fit the
     budget at its padded length, the last of a bucket fewer, and one row where
     a single row is over the budget.  Rows of a bucket go in the order of
@@ -84,15 +85,17 @@ def pack_lengths(docs: DataFrame, length: Column | None = None, buckets: int = B
     """
     own = F.size(words(F.col("text"))) if length is None else length
     rows = docs.select("doc_id", F.coalesce(own, F.lit(0)).cast("long").alias("length"))
-    rows = rows.withColumn("class", length_class(F.col("length")))
-    counted = {r["class"]: r["n"] for r in rows.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("class", length_class(F.col("length"), exact))
+    # Each class counts with the longest length it has.
+    counted = {r["longest"]: r["n"] for r in rows.groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"), F.max("length").alias("longest")).collect()}
     upper = bounds(list(counted.items()), buckets)
     bucket, padded, first, before, per = (F.lit(0).cast("long") for _ in range(5))
     done = batches = 0
     for i, bound in enumerate(upper):
         held = sum(n for c, n in counted.items() if c <= bound and (not i or c > upper[i - 1]))
         fit = max(budget // max(bound, 1), 1)
-        inside = F.col("class") > (upper[i - 1] if i else -1)
+        inside = F.col("length") > (upper[i - 1] if i else -1)
         bucket, padded, first, before, per = (
             F.when(inside, F.lit(v).cast("long")).otherwise(x) for v, x in
             ((i, bucket), (bound, padded), (done, first), (batches, before), (fit, per)))

@@ -94,6 +94,17 @@ def test_packing(docs, rows):
     assert all(len(own) == fit(own) for batch, own in held.items() if batch != last[own[0]["bucket"]])
 
 
+def test_lengths_are_exact(spark):
+    """As many buckets as lengths: nothing is padded, whatever the lengths; a bounded histogram pads to the longest held."""
+    lengths = [4_097, 4_099, 4_101, 70_001]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths * 3)], "doc_id bigint, n bigint")
+    for exact in (None, 4_096):
+        got = pack_lengths(df, df.n, buckets=4, exact=exact).collect()
+        assert all(r["padded"] == r["length"] for r in got)
+    coarse = pack_lengths(df, df.n, buckets=4, exact=1_024).collect()
+    assert {(r["length"], r["padded"]) for r in coarse} == {(4_097, 4_101), (4_099, 4_101), (4_101, 4_101), (70_001, 70_001)}
+
+
 def test_empty_tables(none):
     assert shard_documents(none).count() == 0
     assert pack_lengths(none).count() == 0
