@@ -169,3 +169,30 @@ def test_empty_tables(none):
     assert exact_groups(none).count() == 0
     assert near_duplicates(none).count() == 0
     assert remove_repeats(none).count() == 0
+
+
+def _twins():
+    """Two words whose polynomials modulo 2^64 agree for every base."""
+    ab = "".join("ab"[bin(i).count("1") % 2] for i in range(1_024))
+    return ab, ab.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_share_a_polynomial(spark):
+    x, y = _twins()
+    docs = spark.createDataFrame(
+        [(1, " ".join([f"w{i}" for i in range(10)] + [x] + [f"w{i}" for i in range(10, 19)])),
+         (2, " ".join([f"w{i}" for i in range(10)] + [y] + [f"w{i}" for i in range(10, 19)]))], "doc_id bigint, text string")
+    assert [r["n_removed"] for r in remove_repeats(docs).orderBy("doc_id").collect()] == [0, 0]
+
+
+def test_names_of_words():
+    from clipledger.llm.tokens import Spans
+
+    x, y = _twins()
+    spans = Spans([f"{x} b\t{y}".encode(), b"", f" B {x.upper()}".encode()])
+    assert spans.words().to_pylist() == [w.encode() for w in (x, "b", y, "B", x.upper())]
+    for lane in (0, 1):
+        a, b, c, d, e = spans.hashes(lane).tolist()
+        assert len({a, b, c, d, e}) == 5
+        assert spans.hashes(lane, lower=True).tolist() == [a, b, c, b, a]
+    assert not set(spans.hashes(0).tolist()) & set(spans.hashes(1).tolist())
