@@ -251,7 +251,17 @@ def collocations(docs: DataFrame, least: int = 10, inside_percent: int = 50, top
         F.when(early, F.col("a_f")).otherwise(F.col("ab_f")).alias("l"),
         F.when(early, F.col("bc_f")).otherwise(F.col("c_f")).alias("r"), F.least("first", "second").alias("score"))
 
-    # Each task keeps its own first `top` of a language before any row moves.
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = two.unionByName(three).withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
+    best = _first(_first(two.unionByName(three).withColumn("deal", _deal(docs)), top, "lang", "deal"), top, "lang")
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _deal(docs: DataFrame) -> Column:
+    """Deals the phrases of a language out, to as many tasks as the square root of all."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.pmod(F.xxhash64("phrase"), F.lit(max(round(parts ** 0.5), 1)))
+
+
+def _first(phrases: DataFrame, top: int, *by: str) -> DataFrame:
+    """The first `top` of each group, with their rank; every task sends no more than that of a group."""
+    place = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    return phrases.withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
