@@ -83,7 +83,7 @@ def _batch(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     for rows in held:
         for lang, text in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist()):
             by_lang.setdefault(lang, []).append(text or b"")
-    codes, langs, words, counts, totals, known = [], [], [], [], [], 0
+    codes, langs, words, counts, totals, known = [], [], [], [], [], 0   # of every language
     for lang, texts in by_lang.items():
         found = [tokens(*s) for s in _segments(texts)]
         coded = pa.concat_arrays([w for w, _ in found]).dictionary_encode()
@@ -92,13 +92,13 @@ def _batch(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         codes.append((own + known) * 2 + begins)
         size = len(coded.dictionary)
         counts.append(np.bincount(own, minlength=size))
-        words += coded.dictionary.to_pylist()
-        langs += [lang] * size
+        words.append(coded.dictionary)
+        langs.append(pa.repeat(lang, size))
         totals.append((lang, len(own)))
         known += size
     body = zstandard.ZstdCompressor(level=1).compress(np.concatenate(codes).astype("<i8").tobytes())
     listed = pa.StructArray.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()),
+        [pa.concat_arrays(langs), pa.concat_arrays(words).cast(pa.large_string()).cast(pa.string()),
          pa.array(np.concatenate(counts), pa.int64())], ["lang", "word", "n"])
     sums = pa.StructArray.from_arrays(
         [pa.array([t[0] for t in totals], pa.string()), pa.array([t[1] for t in totals], pa.int64())], ["lang", "n"])

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+from pandas.util import hash_array
 
 CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time; a longer text is one chunk
 
@@ -15,7 +15,7 @@ CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time;
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_SEEDS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)   # of the lanes
+_KEYS = ("words, lane zero", "words, lane one.")   # of 16 bytes, one for each lane
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -80,9 +80,7 @@ class Spans:
             [None, pa.py_buffer(ends.astype(np.int64 if wide else np.int32)), pa.py_buffer(data[~SPACE[data]])])
 
     def hashes(self, lane: int = 0, lower: bool = False) -> np.ndarray:
-        """64-bit hash of every word; lanes are independent of each other.  Each distinct word is hashed once."""
+        """64-bit SipHash of every word; lanes have keys of their own.  Each distinct word is hashed once."""
         coded = self.words(lower).dictionary_encode()
-        seed = _SEEDS[lane]
-        distinct = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in coded.dictionary.to_pylist()), np.uint64,
-                               len(coded.dictionary))
+        distinct = hash_array(coded.dictionary.to_numpy(zero_copy_only=False), hash_key=_KEYS[lane], categorize=False)
         return distinct[coded.indices.to_numpy()]
