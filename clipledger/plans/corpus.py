@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,14 @@ from clipledger.functions.signal import downmix, quantise
 from clipledger.operators.names import sequence_assign
 from clipledger.operators.ordering import keep_first
 from clipledger.operators.outcomes import convert_until, successes
-from clipledger.operators.pending import head_limit, pending_by_key, pending_members, set_difference
+from clipledger.operators.pending import (
+    head_limit, pending_by_key, pending_members, set_difference, skipped_members,
+)
 from clipledger.schema import (
     FAKE, IMPORT_TIME, METHOD_SAMPLES, METHOD_SPEECH, REAL,
 )
-from clipledger.sources.archives import archive_members
+from clipledger.session import stored
+from clipledger.sources.archives import archive_members, with_payloads
 
 CLIP_SUFFIX = ".mp3"   # fixed value: what corpora store clips as
 
@@ -56,22 +60,28 @@ def sample_entries(outcomes: DataFrame, target: int, done: int, start: int,
                    generated_at=generated_at)
 
 
+class Extraction(NamedTuple):
+    outcomes: DataFrame | None   # archive, seq, member, wav_name and what `convert` added
+    skipped: DataFrame           # members whose clip was there before
+
+
 def run_extraction(spark: SparkSession, archives: list[str], existing: DataFrame, wanted: int,
-                   convert: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
-    """Outcomes of the clips among archive members until `wanted` are extracted, in archive order.
+                   convert: Callable[[DataFrame], DataFrame]) -> Extraction:
+    """Extract the clips among archive members until `wanted` are extracted, in archive order.
 
     existing: filename of the clips extracted before.  `convert` gets archive,
     seq, member, wav_name and content, and adds `error`.  Names are listed
-    without payloads first; payloads are read for the members still wanted.
+    without payloads, once; then only payloads of members still wanted are
+    handed on, and an archive is read up to the last of them.
     """
-    names = archive_members(spark, archives, CLIP_SUFFIX, content=False)
+    names = stored(archive_members(spark, archives, CLIP_SUFFIX, content=False).drop("content"), "members")
     work = pending_members(names, existing).select("archive", "seq", "member", "wav_name")
 
-    def with_payload(part: DataFrame) -> DataFrame:
-        payloads = archive_members(spark, archives, CLIP_SUFFIX).select("archive", "seq", "content")
-        return convert(part.join(payloads, ["archive", "seq"])).drop("content")
+    def extract(part: DataFrame) -> DataFrame:
+        # One task reads an archive, many convert its clips.
+        return convert(with_payloads(part).repartition("archive", "seq")).drop("content")
 
-    return convert_until(work, wanted, with_payload, "archive", "seq")
+    return Extraction(convert_until(work, wanted, extract, "archive", "seq"), skipped_members(names, existing))
 
 
 def engine_entries(clips: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -86,12 +96,12 @@ def engine_entries(clips: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def speech_plan(sentences: DataFrame, voice_label: str, manifest: DataFrame,
                 limit: int | None = None, method: str | None = None) -> DataFrame:
-    """Sentences to speak with one voice, in clip order.
+    """Sentences to speak with one voice, in clip order, with the characters each costs (`char_stats` sums them).
 
     With `method` only rows of that method count as done.
     """
     work = sentences.select(
-        F.col("wav_filename").alias("source_file"), "sentence",
+        F.col("wav_filename").alias("source_file"), "sentence", F.char_length("sentence").cast("long").alias("char_count"),
         speech_name("wav_filename", F.lit(voice_label)).alias("filename"),
         F.lit(voice_label).alias("voice_model"))
     return head_limit(pending_by_key(work, manifest, method), limit, "source_file")

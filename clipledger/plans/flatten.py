@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipledger.operators.locate import locate_files
 from clipledger.operators.names import decollide_names, flat_path
+from clipledger.operators.ordering import take_first
 from clipledger.operators.outcomes import successes
 from clipledger.schema import MANIFEST_FIELDS
 from clipledger.session import stored
@@ -19,6 +20,10 @@ class FlattenPlan(NamedTuple):
     missing: DataFrame   # entries without a file
     manifest: DataFrame  # the ledger after the move
 
+    def first_missing(self, n: int = 5) -> list[str]:
+        """Names of the first entries without a file, to be shown beside the counts."""
+        return [r["filename"] for r in take_first(self.missing, n, "entry_seq").collect()]
+
 
 def flatten_plan(manifest: DataFrame, files: DataFrame) -> FlattenPlan:
     """`moves` tells whoever moves files what goes where; nothing is moved here.

@@ -6,7 +6,6 @@ import io
 import tarfile
 
 import pyarrow as pa
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from clipledger.plans.corpus import run_extraction
 from clipledger.queries.bindings import doc_name, table
 from clipledger.queries.registry import query
 from clipledger.session import new_path
-from clipledger.sources.archives import as_uri, default_file_system
+from clipledger.sources.archives import as_uri, default_file_system, located
 from clipledger.sources.folders import (
     clip_listing, default_clip, disk_inventory, engine_listing, listing, output_listing, root_union,
 )
@@ -24,7 +23,7 @@ _TAR_ROWS = 200   # documents in one archive
 
 
 def _put(uri: str, content: bytes) -> None:
-    filesystem, path = arrow_fs.FileSystem.from_uri(uri)
+    filesystem, path = located(uri)
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
     with filesystem.open_output_stream(path, compression=None) as out:
         out.write(content)
@@ -107,9 +106,11 @@ w as (select *, row_number() over (order by archive, seq) as pos from m
 o as (select *, count(*) filter (not bad) over (order by pos) - case when bad then 0 else 1 end as before from w)
 select archive, seq, wav_name, case when bad then 'too short' end as error
 from o where before < (select count(*) // 3 from documents)
+union all
+select archive, seq, wav_name, 'skipped' from m where doc_id % 9 <> 0 and doc_id in (select doc_id from labels)
 """)
 def extract_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents packed into archives by tasks; clips are extracted until a third is reached."""
+    """Documents packed into archives by tasks; clips are extracted until a third is reached, those there before skipped."""
     root = new_path(spark, "archives")
     base = as_uri(root, default_file_system(spark))
     docs = table(spark, sf_dir, "documents")
@@ -135,5 +136,6 @@ def extract_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = sorted(r["path"] for r in listing(spark, root, "*.tar.gz").select("path").collect())
     existing = table(spark, sf_dir, "labels").select(doc_name("doc_id").alias("filename"))
     short = F.when(F.octet_length("content") < 400, "too short")
-    outcomes = run_extraction(spark, archives, existing, docs.count() // 3, lambda df: df.withColumn("error", short))
-    return outcomes.select(basename("archive").alias("archive"), "seq", "wav_name", "error")
+    done = run_extraction(spark, archives, existing, docs.count() // 3, lambda df: df.withColumn("error", short))
+    return done.outcomes.select(basename("archive").alias("archive"), "seq", "wav_name", "error").unionByName(
+        done.skipped.select(basename("archive").alias("archive"), "seq", "wav_name", F.lit("skipped").alias("error")))

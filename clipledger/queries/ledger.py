@@ -27,6 +27,7 @@ from clipledger.queries.bindings import (
 )
 from clipledger.queries.registry import query
 from clipledger.session import new_path, stored
+from clipledger.sources.store import LedgerStore
 from clipledger.sources.tables import manifest_scan, manifest_write
 from clipledger.sources.voices import catalogue, parse_voice_spec
 
@@ -169,6 +170,30 @@ def done_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_done(manifest(spark, sf_dir))
 
 
+@query(f"""
+with {MANIFEST_SQL}
+select label, method, voice_model, count(*) as entries from m where filename not like '%1.wav' group by all
+union all
+select 'next', '', '', max(entry_seq) + 1 from m where filename not like '%1.wav'
+union all
+select 'samples', '', '', count(*) from m where method = 'tagarela' and filename not like '%1.wav'
+""")
+def kept_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stored ledger that was appended to, rewritten without some rows and appended to, without reading it."""
+    store = LedgerStore(spark, new_path(spark, "ledger"))
+    m = manifest(spark, sf_dir)
+    store.append(m.where("label = 'real'"), "reals", 0)
+    store.append(m.where("method = 'rvc'"))
+    store.rewrite(store.read().where("filename not like '%1.wav'"))
+    store.append(m.where("label = 'real'"), "reals", 0)   # the same batch again
+    store.append(m.where("label = 'fake' and method <> 'rvc' and filename not like '%1.wav'"))
+    state = store.state()
+    facts = spark.createDataFrame(
+        [("next", "", "", state["next_seq"]), ("samples", "", "", state["samples"])],
+        "label string, method string, voice_model string, entries bigint")
+    return store.counts("label", "method", "voice_model").unionByName(facts)
+
+
 _ENGINES_SQL = f"""
 with {MANIFEST_SQL},
 g as (

@@ -268,6 +268,46 @@ def budget_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_budget(work, _BUDGET, "doc_id", floor_ms=_FLOOR)
 
 
+_SUPPLIER_BUDGET = 30_000_000
+
+
+@query(f"""
+with recursive
+w as (select l_suppkey as ord, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+        case when l_linenumber % 5 = 2 or l_suppkey % 11 = 5 then null else l_quantity::bigint * 1000 end as duration_ms,
+        l_returnflag = 'R' and l_linenumber % 3 = 0 as failed from lineitem),
+t as (select *, coalesce(duration_ms, 10700) as ms, row_number() over (
+        partition by ord order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as nth
+      from w),
+u as (select *, cast(sum(case when failed then 0 else ms end) over (
+        partition by ord order by nth rows unbounded preceding) as bigint) - case when failed then 0 else ms end as before
+      from t),
+tot as (select ord, cast(sum(case when failed then 0 else ms end) as bigint) as total from t group by ord),
+turn as (select ord, total, row_number() over (order by ord) as n from tot),
+b(n, used) as (
+  select cast(1 as bigint), cast(0 as bigint)
+  union all
+  select b.n + 1, b.used + case when {_SUPPLIER_BUDGET} - b.used < {_FLOOR} then 0 else coalesce(
+    (select arg_min(u.before, u.nth) from u
+     where u.ord = turn.ord and b.used + u.before + u.ms > {_SUPPLIER_BUDGET}), turn.total) end
+  from b join turn on turn.n = b.n),
+s as (select turn.ord, b.used, (select min(u.nth) from u where u.ord = turn.ord
+        and b.used + u.before + u.ms > {_SUPPLIER_BUDGET}) as stop
+      from b join turn on turn.n = b.n where {_SUPPLIER_BUDGET} - b.used >= {_FLOOR})
+select u.ord, l_orderkey, l_linenumber, duration_ms, s.used + u.before as used_before_ms
+from u join s on s.ord = u.ord where s.stop is null or u.nth < s.stop
+""")
+def budget_many_voices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as voices and their lines as clips, some of unknown length; all but a few share what one stop leaves."""
+    unknown = (F.col("l_linenumber") % 5 == 2) | (F.col("l_suppkey") % 11 == 5)
+    work = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("bigint").alias("ord"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+        F.when(~unknown, F.col("l_quantity").cast("bigint") * 1000).alias("duration_ms"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 3 == 0), "failed").alias("error"))
+    return plan_budget(work, _SUPPLIER_BUDGET, "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", floor_ms=_FLOOR).select(
+        "ord", "l_orderkey", "l_linenumber", "duration_ms", "used_before_ms")
+
+
 @query("""
 select lang, count(*) as clips, (540.0::double * 60) / (sum(n_chars)::double / count(*) / 1000) as fits
 from documents group by lang

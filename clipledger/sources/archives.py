@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import re
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import types as T
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
+    LessThanOrEqual, StringEndsWith,
+)
 
 _BATCH_BYTES, _BATCH_ROWS = 16 << 20, 10_000   # payload and members handed on at a time
+_BOUNDS = (EqualTo, LessThan, LessThanOrEqual, GreaterThan, GreaterThanOrEqual)
+_LAST = (1 << 63) - 1
 _SCHEMA = "archive string, member string, seq bigint, is_file boolean, content binary"
 
 
@@ -26,12 +33,35 @@ class _TarReader(DataSourceReader):
         self.suffix = options.get("suffix", "")
         self.content = options.get("content", "true") == "true"
         self.default = options.get("default", "file:///")
+        self.first, self.last = 0, _LAST   # wanted places in an archive
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Archives and places are pruned before anything is read; a scan ends behind its last place.
+
+        A member's ending only spares payloads, so Spark still applies it.
+        """
+        for f in filters:
+            column, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if column == ("archive",) and isinstance(f, (EqualTo, In)):
+                wanted = {value} if isinstance(f, EqualTo) else set(value)
+                self.paths = [p for p in self.paths if p in wanted]
+            elif column == ("seq",) and isinstance(f, _BOUNDS):
+                if not isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                    self.last = min(self.last, value - isinstance(f, LessThan))
+                if not isinstance(f, (LessThan, LessThanOrEqual)):
+                    self.first = max(self.first, value + isinstance(f, GreaterThan))
+            else:
+                if column == ("member",) and isinstance(f, StringEndsWith) and value.endswith(self.suffix):
+                    self.suffix = value
+                yield f
 
     def partitions(self) -> list[_Archive]:
         # A gzip stream cannot be entered midway: one task per archive.
         return [_Archive(p) for p in self.paths]
 
-    def read(self, partition: _Archive) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Archive | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:   # no archive is left
+            return
         held, size = [], 0
         for row in self._members(partition.path):
             held.append(row)
@@ -43,15 +73,23 @@ class _TarReader(DataSourceReader):
             yield _batch(held)
 
     def _members(self, archive: str) -> Iterator[tuple]:
-        filesystem, path = arrow_fs.FileSystem.from_uri(as_uri(archive, self.default))
-        with filesystem.open_input_stream(path, compression=None) as raw:
-            with tarfile.open(fileobj=raw, mode="r|gz") as tar:
-                for seq, member in enumerate(tar):
-                    wanted = member.isfile() and member.name.endswith(self.suffix)
-                    payload = None
-                    if wanted and self.content:
-                        payload = tar.extractfile(member).read()
-                    yield archive, member.name, seq, member.isfile(), payload
+        for seq, member, payload in _walk(archive, self.default, self.last):
+            if seq >= self.first:
+                wanted = self.content and member.isfile() and member.name.endswith(self.suffix)
+                yield archive, member.name, seq, member.isfile(), payload() if wanted else None
+
+
+def _walk(archive: str, default: str, last: int) -> Iterator[tuple]:
+    """(place, member, reader of its payload) up to place `last`; payloads not asked for are skipped over."""
+    filesystem, path = located(archive, default)
+    with filesystem.open_input_stream(path, compression=None) as raw:
+        with tarfile.open(fileobj=raw, mode="r|gz") as tar:
+            for seq, member in enumerate(tar):
+                if seq > last:
+                    return
+                yield seq, member, lambda member=member: tar.extractfile(member).read()
+                if seq == last:
+                    return
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -68,6 +106,17 @@ def as_uri(path: str, default: str = "file:///") -> str:
     return path.replace("s3a://", "s3://")
 
 
+def located(path: str, default: str = "file:///") -> tuple[arrow_fs.FileSystem, str]:
+    """The file system of a path and the path inside it, whatever characters it has."""
+    uri = as_uri(path, default)
+    if uri.startswith("file://"):
+        return arrow_fs.LocalFileSystem(), uri.removeprefix("file://")
+    scheme, _, rest = uri.partition("://")
+    host, _, inside = rest.partition("/")
+    filesystem, root = arrow_fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return filesystem, f"{root.rstrip('/')}/{inside}"
+
+
 def default_file_system(spark: SparkSession) -> str:
     return spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
 
@@ -89,8 +138,47 @@ def archive_members(spark: SparkSession, archives: list[str], suffix: str = "",
     """Every member of the archives; payloads only of files ending in `suffix`.
 
     Archives are read one per task, so spread the rows before heavy work.
+    Filters on archive and seq prune the scan.
     """
     spark.dataSource.register(TarMembers)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("tar_members").options(
         paths="\n".join(archives), suffix=suffix, content=str(content).lower(),
         default=default_file_system(spark)).load()
+
+
+def with_payloads(wanted: DataFrame) -> DataFrame:
+    """Add `content` to members given by archive and seq; a member that is not there gets none.
+
+    Each archive is read once, by one task, up to its last wanted member; only
+    the wanted payloads are handed on.
+    """
+    default = default_file_system(wanted.sparkSession)
+    schema = T.StructType([*wanted.schema.fields, T.StructField("content", T.BinaryType())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).sort_by("seq")
+        places = rows.column("seq").to_numpy()
+        archive = rows.column("archive")[0].as_py()
+        held: list[tuple[int, bytes | None]] = []
+        size = at = 0
+        for seq, member, payload in _walk(archive, default, int(places[-1])):
+            end = int(np.searchsorted(places, seq, side="right"))
+            if end > at:
+                content = payload() if member.isfile() else None
+                held += [(i, content) for i in range(at, end)]
+                size, at = size + len(content or b""), end
+            if size >= _BATCH_BYTES or len(held) >= _BATCH_ROWS:
+                yield _with_content(rows, held)
+                held, size = [], 0
+        held += [(i, None) for i in range(at, len(places))]
+        if held:
+            yield _with_content(rows, held)
+
+    return wanted.groupBy("archive").applyInArrow(read, schema)
+
+
+def _with_content(rows: pa.Table, held: list[tuple[int, bytes | None]]) -> pa.RecordBatch:
+    picked = rows.take(pa.array([i for i, _ in held], pa.int64())).combine_chunks().to_batches()[0]
+    return pa.RecordBatch.from_arrays(
+        [*picked.columns, pa.array([c for _, c in held], pa.binary())], [*picked.schema.names, "content"])

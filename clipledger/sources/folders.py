@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions.paths import basename, parent_name
 from clipledger.schema import ENGINE_TREE, LISTING
+from clipledger.session import stored
+from clipledger.sources.archives import default_file_system, located
+
+_ARROW_SCHEMES = ("file", "hdfs", "s3", "s3a", "gs")   # what tasks can list themselves
+_ENTRY_ROWS = 10_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -62,16 +72,80 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _entries(folders: DataFrame) -> DataFrame:
+    """(path, length, is_folder) of what lies in each folder; hidden names are left out."""
+    default = default_file_system(folders.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                filesystem, path = located(folder, default)
+                found = [f for f in filesystem.get_file_info(arrow_fs.FileSelector(path)) if f.base_name[:1] not in "._"]
+                for k in range(0, len(found), _ENTRY_ROWS):
+                    part = found[k:k + _ENTRY_ROWS]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([f"{folder.rstrip('/')}/{f.base_name}" for f in part], pa.string()),
+                         pa.array([f.size for f in part], pa.int64()),
+                         pa.array([f.type == arrow_fs.FileType.Directory for f in part], pa.bool_())],
+                        ["path", "length", "is_folder"])
+
+    return folders.mapInArrow(run, "path string, length bigint, is_folder boolean")
+
+
+def _levels(spark: SparkSession, folders: list[str], deepest: int | None = None) -> Iterator[DataFrame]:
+    """The entries of the folders, of their subfolders and so on, level by level.
+
+    The folders of a level are dealt to all tasks, and their subfolders anew on
+    the next one, so a large tree is listed by all of them.  No path goes to
+    the driver; one folder's own entries are held by one task.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level = spark.createDataFrame([(plain_path(f),) for f in folders], "folder string")
+    depth = 0
+    while True:
+        entries = stored(_entries(level.repartition(min(parts, len(folders)) if depth == 0 else parts)), "listing")
+        yield entries
+        depth += 1
+        level = entries.where("is_folder").select(F.col("path").alias("folder"))
+        if depth == deepest or level.isEmpty():
+            return
+
+
+def plain_path(path: str) -> str:
+    """Without the scheme of local files, so that paths compare with the ones jobs were given."""
+    return re.sub("^file:/+", "/", path).rstrip("/") or "/"
+
+
+def _named(entries: DataFrame, pattern: str) -> DataFrame:
+    """The files whose name fits a pattern of *, ? and [...]."""
+    inner = fnmatch.translate(pattern).removeprefix("(?s:").removesuffix(r")\z").removesuffix(r")\Z")
+    return entries.where(~F.col("is_folder") & basename("path").rlike(f"(?s)^{inner}$")).select("path", "length")
+
+
 def listing(spark: SparkSession, folder: str | list[str], pattern: str = "*.wav",
             recursive: bool = False) -> DataFrame:
-    """(path, length) of the matching files; their content is never read."""
+    """(path, length) of the matching files; their content is never read.
+
+    Listed by tasks and stored, where Arrow can reach the folders; otherwise by
+    Spark's own file index, which holds all paths on the driver.
+    """
+    folders = [folder] if isinstance(folder, str) else folder
+    if not all(map(_reachable, folders)):
+        return _indexed(spark, folders, pattern, recursive)
+    return reduce(DataFrame.unionByName, [
+        _named(entries, pattern) for entries in _levels(spark, folders, None if recursive else 1)])
+
+
+def _reachable(folder: str) -> bool:
+    scheme = folder.partition(":")[0] if ":" in folder.partition("/")[0] else "file"
+    return scheme in _ARROW_SCHEMES
+
+
+def _indexed(spark: SparkSession, folders: list[str], pattern: str, recursive: bool) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    folders = [folder] if isinstance(folder, str) else folder
-    # The scheme is dropped so that paths compare with the ones jobs were given.
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    return reader.load(folders).select(plain.alias("path"), "length")
+    return reader.load(folders).select("path", "length")
 
 
 def clip_listing(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
@@ -104,15 +178,20 @@ def output_listing(spark: SparkSession, fake_root: str, pattern: str = "*") -> D
     """(voice, filename) of the outputs in each voice's folder, of any extension."""
     if not subfolders(spark, fake_root):
         return spark.createDataFrame([], "voice string, filename string")
-    return listing(spark, f"{fake_root.rstrip('/')}/*", pattern).select(
-        parent_name("path").alias("voice"), basename("path").alias("filename"))
+    if _reachable(fake_root):
+        _, files = _levels(spark, [fake_root], 2)
+        files = _named(files, pattern)
+    else:
+        files = _indexed(spark, [f"{fake_root.rstrip('/')}/*"], pattern, False)
+    return files.select(parent_name("path").alias("voice"), basename("path").alias("filename"))
 
 
 def disk_inventory(spark: SparkSession, data_root: str) -> DataFrame:
     """All wav files under the root as (path relative to it, parent, name)."""
-    fs, p = _fs(spark, data_root)
-    # As the listing writes it, whatever way the root was typed.
-    root = re.sub("^file:/+", "/", fs.makeQualified(p).toString()).rstrip("/") + "/"
+    if not _reachable(data_root):   # as the file index writes it
+        fs, p = _fs(spark, data_root)
+        data_root = fs.makeQualified(p).toString()
+    root = plain_path(data_root) + "/"
     files = listing(spark, data_root, "*.wav", recursive=True)
     inside = F.substring(F.col("path"), F.lit(len(root) + 1), F.length("path"))
     return files.select(inside.alias("path"), parent_name("path").alias("parent"),

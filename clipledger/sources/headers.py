@@ -6,18 +6,17 @@ import wave
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from clipledger.schema import DEFAULT_CLIP_SECONDS
-from clipledger.sources.archives import as_uri, default_file_system
+from clipledger.sources.archives import default_file_system, located
 
 
 def _seconds(path: str, default: str) -> tuple[float | None, str | None]:
     """(seconds, None), or (None, message) where the file cannot be read at all."""
     try:
-        filesystem, name = arrow_fs.FileSystem.from_uri(as_uri(path, default))
+        filesystem, name = located(path, default)
         raw = filesystem.open_input_file(name)
     except Exception as e:  # noqa: BLE001 - a missing file or a store out of reach is the row's error
         return None, str(e) or type(e).__name__

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions.paths import sequence_index
+from clipledger.operators.outcomes import error_log
 from clipledger.schema import LEDGER, METHOD_SAMPLES
 from clipledger.sources.commits import Commit, CommitLog, Marker
 from clipledger.sources.folders import subfolders
@@ -111,3 +112,24 @@ class LedgerStore:
         version, before = self._newest()
         # Numbers start anew: the folder may hold what an earlier failed attempt left.
         self._write(version + 1, Marker(-1, [], before.streams, {}), rows, {"next_seq": 0, "samples": 0, "next_index": 0})
+
+
+class ErrorTable:
+    """What failed, as a log of commits: voice, filename, error, at and the line a text log would show."""
+
+    _SCHEMA = "voice string, filename string, error string, at string, line string"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._log = CommitLog(spark, root)
+
+    def append(self, outcomes: DataFrame, at: Column, stream: str | None = None, batch: int = 0) -> None:
+        """Append the failures among outcomes; those of one batch of a stream once."""
+        if stream is not None and self._log.has(stream, batch):
+            return
+        before = self._log.newest()
+        self._log.write(before.number + 1, "errors", error_log(outcomes, at))
+        self._log.mark(before, before.state, stream, batch)
+        self._log.fold({"errors": (self._SCHEMA, ())})
+
+    def read(self) -> DataFrame:
+        return self._log.read("errors", self._SCHEMA)

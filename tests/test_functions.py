@@ -190,3 +190,12 @@ def test_riff_chunks_are_walked(spark):
               data + fmt(1), fmt(1) + chunk(b"LIST", b"abc")]
     got = mapped(spark, [b"RIFF\0\0\0\0WAVE" + b for b in bodies], lambda c: seconds_or_default(riff_seconds(c)), "binary")
     assert got == [3.0, 3.0, 3.0, 10.7, 10.7, 10.7]
+
+
+def test_riff_of_many_chunks(spark):
+    """More chunks than the first walk has steps for, and a long file whose samples come early."""
+    fmt = b"fmt " + struct.pack("<IHHIIHH", 16, 1, 2, 8000, 32000, 4, 16)
+    data = b"data" + struct.pack("<I", 4 * 24000)
+    bodies = [b"JUNK\0\0\0\0" * 100 + fmt + data, fmt + data + b"x" * 4_000_000, fmt + b"JUNK\0\0\0\0" * 40]
+    got = mapped(spark, [b"RIFF\0\0\0\0WAVE" + b for b in bodies], lambda c: seconds_or_default(riff_seconds(c)), "binary")
+    assert got == [3.0, 3.0, 10.7]

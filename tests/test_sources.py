@@ -1,6 +1,7 @@
 """Files, tables, archives, catalogues and the ledger store in fresh folders."""
 
 import io
+import random
 import tarfile
 import wave
 
@@ -9,13 +10,13 @@ from compare import rows
 from pyspark.sql import functions as F
 
 from clipledger.schema import ENGINES, LEDGER, MANIFEST_FIELDS
-from clipledger.sources.archives import archive_members
+from clipledger.sources.archives import archive_members, with_payloads
 from clipledger.sources.folders import (
-    clip_listing, default_clip, disk_inventory, engine_listing, output_listing, root_union,
+    clip_listing, default_clip, disk_inventory, engine_listing, listing, output_listing, root_union,
 )
 from clipledger.sources.headers import with_file_seconds
 from clipledger.sources.samples import samples
-from clipledger.sources.store import LedgerStore
+from clipledger.sources.store import ErrorTable, LedgerStore
 from clipledger.sources.tables import (
     FILE_ORDER, manifest_scan, manifest_write, sentences_scan, sentences_write, transcript_scan,
 )
@@ -196,13 +197,71 @@ def test_archive_members(spark, tmp_path):
     assert got.rdd.getNumPartitions() == 2
 
 
+def cut_archive(path, members):
+    """An archive whose end, far behind the members, cannot be read."""
+    tar(path, [*members, ("cv/noise.mp3", random.Random(1).randbytes(1 << 20))])
+    path.write_bytes(path.read_bytes()[:-100_000])
+
+
+def test_archive_scans_are_pruned(spark, tmp_path):
+    """Filters on archive and place reach the reader: what lies behind the last place is not even there to be read."""
+    for name in "ab":
+        tar(tmp_path / f"{name}.tar.gz", [(f"cv/{i}.mp3", b"%d" % i) for i in range(6)])
+    cut_archive(tmp_path / "cut.tar.gz", [(f"cv/{i}.mp3", b"%d" % i) for i in range(6)])
+    paths = [f"{tmp_path}/{n}.tar.gz" for n in ("a", "b")]
+    got = archive_members(spark, paths, ".mp3").where(F.col("archive") == paths[1]).where("seq > 1 and seq <= 3")
+    assert rows(got, "seq", "content") == [(2, bytearray(b"2")), (3, bytearray(b"3"))]
+    assert got.rdd.getNumPartitions() == 1
+    assert archive_members(spark, paths).where("archive in ('x', 'y')").count() == 0
+    assert rows(archive_members(spark, paths).where("seq = 2 and member like '%2.mp3'"), "content") == [(bytearray(b"2"),)] * 2
+    assert rows(archive_members(spark, paths).where("seq < 1 or seq >= 5"), "seq") == [(0,), (0,), (5,), (5,)]
+    with pytest.raises(Exception, match="unexpected end of data|EOF|end-of-stream"):
+        archive_members(spark, [f"{tmp_path}/cut.tar.gz"]).where("member = 'none'").count()
+    assert archive_members(spark, [f"{tmp_path}/cut.tar.gz"]).where("seq <= 2").count() == 3
+
+
+def test_wanted_payloads_alone(spark, tmp_path):
+    folder = tmp_path / "é 100% #1"
+    folder.mkdir()
+    cut_archive(folder / "a.tar.gz", [("cv/clips", None), *[(f"cv/{i}.mp3", b"%d" % i) for i in range(1, 9)]])
+    tar(folder / "b.tar.gz", [("cv/x.mp3", b"x")])
+    wanted = spark.createDataFrame(
+        [(f"{folder}/a.tar.gz", s, n) for s, n in ((3, "three"), (0, "folder"), (5, "five"), (3, "again"))]
+        + [(f"{folder}/b.tar.gz", s, n) for s, n in ((0, "x"), (7, "none"))], "archive string, seq bigint, name string")
+    assert rows(with_payloads(wanted), "name", "content") == sorted([
+        ("again", bytearray(b"3")), ("five", bytearray(b"5")), ("folder", None), ("none", None),
+        ("three", bytearray(b"3")), ("x", bytearray(b"x"))])
+    assert with_payloads(wanted.limit(0)).count() == 0
+
+
+def test_deep_listing(spark, tmp_path):
+    names = [f"{a}/{b}/x {i}é#%.wav" for a in "abc" for b in ("1", "2 2") for i in range(3)] + ["top.wav", "a/_no/y.wav", "a/.z.wav"]
+    put(tmp_path, *names, "b/n.txt", "b/1/deep/er/w.wav")
+    want = sorted((f"{tmp_path}/{n}", 1) for n in [*names[:19], "b/1/deep/er/w.wav"])
+    assert sorted(map(tuple, listing(spark, str(tmp_path), recursive=True).collect())) == want
+    assert rows(listing(spark, str(tmp_path)), "path") == [(f"{tmp_path}/top.wav",)]
+    assert rows(listing(spark, [f"{tmp_path}/a/1", f"file://{tmp_path}/b/2 2/"], "x [01]*"), "length") == [(1,)] * 4
+
+
+def test_error_table(spark, tmp_path):
+    table = ErrorTable(spark, f"{tmp_path}/errors")
+    assert table.read().count() == 0
+    outcomes = spark.createDataFrame([("v", "a.wav", None), ("v", "b.wav", "no")], "voice string, filename string, error string")
+    for _ in range(2):
+        table.append(outcomes, F.lit("T"), "s", 0)
+    table.append(outcomes, F.lit("U"))
+    assert rows(table.read()) == [("v", "b.wav", "no", "T", "v|b.wav|no"), ("v", "b.wav", "no", "U", "v|b.wav|no")]
+
+
 def test_file_seconds(spark, tmp_path):
     with wave.open(str(tmp_path / "a.wav"), "wb") as w:
         w.setnchannels(2), w.setsampwidth(2), w.setframerate(8000)
         w.writeframes(b"\0" * 4 * 12000)
     put(tmp_path, "b.wav")
+    (tmp_path / "é #1.wav").write_bytes((tmp_path / "a.wav").read_bytes())
     got = with_file_seconds(clip_listing(spark, str(tmp_path)))
-    assert rows(got, "filename", "seconds", "error") == [("a.wav", 1.5, None), ("b.wav", 10.7, None)]
+    assert rows(got, "filename", "seconds", "error") == [
+        ("a.wav", 1.5, None), ("b.wav", 10.7, None), ("é #1.wav", 1.5, None)]
     lost = with_file_seconds(spark.createDataFrame([(f"{tmp_path}/no.wav",), ("hdfs://nowhere.invalid/a.wav",)], "path string"))
     assert all(r["seconds"] is None and r["error"] for r in lost.collect())
 
