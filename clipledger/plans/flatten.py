@@ -50,3 +50,13 @@ def moved_manifest(manifest: DataFrame, moves: DataFrame, outcomes: DataFrame |
     return manifest.join(placed, "entry_seq", "left").withColumns({
         "filename": F.coalesce("name", "filename"), "filepath": F.coalesce("placed", "filepath"),
     }).select("entry_seq", *MANIFEST_FIELDS)
+
+
+def moved_entries(manifest: DataFrame, moves: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+    """Only the entries that `moved_manifest` changes, for `LedgerStore.change`."""
+    if outcomes is not None:
+        moves = moves.join(successes(outcomes).select("entry_seq"), "entry_seq", "left_semi")
+    placed = moves.select("entry_seq", "name", F.col("filepath").alias("placed"))
+    moved = manifest.join(placed, "entry_seq").where(
+        ~F.col("name").eqNullSafe(F.col("filename")) | ~F.col("placed").eqNullSafe(F.col("filepath")))
+    return moved.withColumns({"filename": F.col("name"), "filepath": F.col("placed")}).select("entry_seq", *MANIFEST_FIELDS)

@@ -194,6 +194,33 @@ def kept_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.counts("label", "method", "voice_model").unionByName(facts)
 
 
+@query(f"""
+with {MANIFEST_SQL},
+c as (select * replace (
+    case when label = 'real' and method = '' then 'common_voice' when voice_model = 'BRAZIL' then 'late' else method end as method,
+    case when generated_at = '' then 'unknown' else generated_at end as generated_at,
+    case when voice_model = 'BRAZIL' then 'fake/' || filename when voice_model = 'CANADA' then 'twice/' || filename
+      else filepath end as filepath)
+  from m)
+select entry_seq, filename, filepath, label, method, generated_at, null as entries from c
+union all
+select null, null, null, label, method, null, count(*) from c group by label, method
+""")
+def changed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored ledger after a backfill and moves, made as changes of the entries concerned, and its kept counts."""
+    store = LedgerStore(spark, new_path(spark, "ledger"))
+    store.append(manifest(spark, sf_dir))
+    for legacy in ("", "common_voice"):   # as many changes as there are entries make a new version
+        store.change(fill(store.read().where(F.col("method") == legacy)).where("changed").drop("changed"))
+    path = F.concat(F.lit("fake/"), "filename")
+    moved = store.read().where("voice_model in ('BRAZIL', 'CANADA')").withColumn("filepath", path)
+    store.change(moved.withColumn("method", F.when(F.col("voice_model") == "BRAZIL", "late").otherwise(F.col("method"))))
+    store.change(store.read().where("voice_model = 'CANADA'").withColumn("filepath", F.concat(F.lit("twice/"), "filename")))
+    rows = store.read().select("entry_seq", "filename", "filepath", "label", "method", "generated_at",
+                               F.lit(None).cast("bigint").alias("entries"))
+    return rows.unionByName(store.counts("label", "method"), allowMissingColumns=True)
+
+
 _ENGINES_SQL = f"""
 with {MANIFEST_SQL},
 g as (

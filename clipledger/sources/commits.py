@@ -15,8 +15,10 @@ import json
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipledger.operators.ordering import keep_last
 from clipledger.sources.folders import delete, file_names, read_text, write_text
 
 FAN = 16   # commits of one level and stream that are folded into one of the next level
@@ -55,11 +57,19 @@ class CommitLog:
 
     def read(self, table: str, schema: str | T.StructType, commits: list[Commit] | None = None) -> DataFrame:
         """The rows of all commits, or of some."""
-        live = self.newest().live if commits is None else commits
+        return self._numbered(table, schema, self.newest().live if commits is None else commits).drop("commit")
+
+    def _numbered(self, table: str, schema: str | T.StructType, live: list[Commit]) -> DataFrame:
+        """The rows with the number of their commit."""
         if not live:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema).withColumn("commit", F.lit(0))
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(
-            *[self._path(table, c.number) for c in live]).drop("commit")
+            *[self._path(table, c.number) for c in live])
+
+    def latest(self, table: str, schema: str | T.StructType, key: str, commits: list[Commit] | None = None) -> DataFrame:
+        """The newest row of each key."""
+        rows = self._numbered(table, schema, self.newest().live if commits is None else commits)
+        return keep_last(rows, [key], "commit").drop("commit")
 
     def write(self, number: int, table: str, rows: DataFrame, partitions: tuple[str, ...] = ()) -> str:
         """Write a table of the commit `number`, which is not seen before `mark`; returns its folder."""
@@ -76,11 +86,12 @@ class CommitLog:
         write_text(self.spark, f"{self.root}/_commits/{marker.number:08d}", json.dumps(
             {"live": marker.live, "streams": marker.streams, "state": marker.state}))
 
-    def fold(self, tables: dict[str, tuple[str | T.StructType, tuple[str, ...]]]) -> None:
+    def fold(self, tables: dict[str, tuple[str | T.StructType, tuple[str, ...]]], key: str | None = None) -> None:
         """Fold the last FAN commits into one while they are of one level and stream.
 
         tables: schema and partition columns of each.  A row is rewritten once
-        for each level, so as often as the logarithm of the commits.
+        for each level, so as often as the logarithm of the commits.  Of a
+        table with the column `key` only the newest row of each key is kept.
         """
         while True:
             now = self.newest()
@@ -89,7 +100,10 @@ class CommitLog:
                 return
             number = now.number + 1
             for table, (schema, partitions) in tables.items():
-                self.write(number, table, self.read(table, schema, last), partitions)
+                rows = self.read(table, schema, last)
+                if key in rows.columns:
+                    rows = self.latest(table, schema, key, last)
+                self.write(number, table, rows, partitions)
             self._mark(now._replace(number=number, live=[
                 *now.live[:-FAN], Commit(number, last[0].level + 1, last[0].stream)]))
 

@@ -299,3 +299,30 @@ def test_store_versions(spark, tmp_path):
     assert store.version() == 2
     plan = store.read().where("method = 'rvc'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "method" in plan.split("PartitionFilters")[1]
+
+
+def test_changed_entries(spark, tmp_path):
+    store = LedgerStore(spark, f"{tmp_path}/ledger")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER.fields}
+    table = spark.range(200).select(*[c.alias(n) for n, c in (blank | {
+        "entry_seq": F.col("id"), "filename": F.format_string("f%03d", "id"), "label": F.lit("fake"),
+        "method": F.lit("rvc"), "voice_model": F.lit("v")}).items()])
+    store.append(table.where("entry_seq < 150"))
+    want = {i: (f"f{i:03d}", "rvc") for i in range(150)}
+    for k in range(20):   # more than are folded; entries change several times
+        ids = [k, k + 1, 100, 5_000 + k]
+        store.change(table.limit(1).crossJoin(spark.createDataFrame([(i,) for i in ids], "e bigint")).select(
+            F.col("e").alias("entry_seq"), F.concat(F.lit(f"n{k}_"), "e").alias("filename"), F.lit("tagarela").alias("method"),
+            *[c for c in LEDGER.names if c not in ("entry_seq", "filename", "method")]))
+        want.update({i: (f"n{k}_{i}", "tagarela") for i in ids if i < 200})
+        if k in (3, 17):
+            store.append(table.where(F.col("entry_seq") == 150 + k))
+            want[150 + k] = (f"f{150 + k}", "rvc")
+        if k in (0, 3, 10, 19):
+            assert {r.entry_seq: (r.filename, r.method) for r in store.read().collect()} == want
+            by = {}
+            for _, m in want.values():
+                by[m] = by.get(m, 0) + 1
+            assert {r.method: r.entries for r in store.counts("method").collect()} == by
+            assert store.state()["next_seq"] == max(want) + 1 and store.state()["samples"] == by["tagarela"]
+    assert store.version() > 1   # so many changes were folded into a new version
