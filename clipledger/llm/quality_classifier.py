@@ -1,10 +1,9 @@
 """Supervised subword embeddings for text quality.
 
-Features of a text are its words and the 3- and 4-byte windows inside words
-with one boundary on either side, hashed to buckets; a word that repeats the
-one before it adds a feature of its own, and every text one end feature.  A
-text is the average of its features' vectors, and a softmax over two classes
-follows.  Vectors and output weights are learned by stochastic gradient descent
+Features of a text are its words, the windows of 3 and 4 characters inside
+words with one boundary on either side, the distance of up to 4 words at which
+a word is repeated, and one end, all hashed to buckets.  A text is the average
+of its features' vectors, and a softmax over two classes follows.  Vectors and output weights are learned by stochastic gradient descent
 on a bounded sample of labelled rows.  As the output is linear in the average,
 each bucket's part in the difference of the two logits is one number, so a
 text is scored by averaging numbers.
@@ -12,13 +11,15 @@ text is scored by averaging numbers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.common import carried, held_out
-from clipledger.llm.tokens import SPACE, Spans, mixed, slices
+from clipledger.llm.tokens import SPACE, Spans, mixed, segments, slices
 
 TRAIN_ROWS = 4_000      # labelled rows that are fitted on, at most
 BUCKETS = 1 << 18
@@ -27,51 +28,65 @@ STEPS = 24_000          # gradient steps, however few rows there are
 RATE = 0.5
 THRESHOLD = 0.3
 FOLDS = 5               # one in so many rows is held out
-_REPEAT, _END = 0, 1    # buckets of the two special features
+_END = 0                # bucket of the feature that every text has
+_ECHO = 4               # buckets from 1 on: a word that was there 1, 2, ... words before
 _GRAM = {3: np.uint64(0xA24BAED4963EE407), 4: np.uint64(0x9FB21C651E98DF25)}
+_STEP = np.uint64(0xD1342543DE82EF95)
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
-    return (mixed(x) >> np.uint64(64 - 18)).astype(np.int64) | 2
-
-
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all features of some texts, and the text each one is in."""
-    spans = Spans(texts)
-    words = spans.hashes()
-    out, of = [_bucket(words)], [spans.text]
-    same = np.flatnonzero((words[1:] == words[:-1]) & (spans.text[1:] == spans.text[:-1])) + 1
-    out.append(np.full(len(same), _REPEAT, np.int64))
-    of.append(spans.text[same])
-    out.append(np.full(len(texts), _END, np.int64))
-    of.append(np.arange(len(texts)))
-    space = np.concatenate(([True], SPACE[spans.data]))
-    data = np.where(space, np.uint8(0x20), np.concatenate((spans.data[:1], spans.data))).astype(np.uint64)
-    owner = np.concatenate(([0], np.repeat(np.arange(len(texts)), spans.ends - spans.begins)))
-    for n, salt in _GRAM.items():
-        if len(data) < n:
-            continue
-        code = np.zeros(len(data) - n + 1, np.uint64)
-        inside = np.ones(len(code), bool)
-        for k in range(n):
-            code = (code << np.uint64(8)) | data[k:len(data) - n + 1 + k]
-            if 0 < k < n - 1:
-                inside &= ~space[k:len(data) - n + 1 + k]
-        at = np.flatnonzero(inside)
-        out.append(_bucket(code[at] * salt))
-        of.append(owner[at + 1])
-    return np.concatenate(out), np.concatenate(of)
-
-
-def fit(texts: list[str | None], labels: list[int], steps: int = STEPS, rate: float = RATE, seed: int = 1) -> np.ndarray:
-    """Per bucket its part in the logit of label 1 over label 0."""
+    return np.maximum((mixed(x) >> np.uint64(64 - 18)).astype(np.int64), _ECHO + 1)
+
+
+def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the features of some texts, and the text each one is in, a portion of text at a time."""
+    yield np.full(len(texts), _END, np.int64), np.arange(len(texts))
+    last, last_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)   # a long text goes on in the next portion
+    for parts, owner in segments(texts):
+        spans = Spans(parts)
+        words, own = spans.hashes(), owner[spans.text]
+        yield _bucket(words), own
+        known = len(last)
+        words, own = np.concatenate((last, words)), np.concatenate((last_of, own))
+        for gap in range(1, _ECHO + 1):
+            again = np.flatnonzero((words[gap:] == words[:-gap]) & (own[gap:] == own[:-gap])) + gap
+            again = again[again >= known]
+            yield np.full(len(again), gap, np.int64), own[again]
+        last, last_of = words[-_ECHO:], own[-_ECHO:]
+        # The text as characters, every white space one boundary, and one in front.
+        chars = np.frombuffer(spans.raw.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        begins = np.flatnonzero((spans.data & 0xC0) != 0x80)
+        of = owner[np.searchsorted(spans.ends, begins, side="right")]
+        space = np.concatenate(([True], (chars < 256) & SPACE[chars & 255]))
+        chars = np.where(space, np.uint64(0x20), np.concatenate(([0], chars)).astype(np.uint64))
+        for n, salt in _GRAM.items():
+            size = len(chars) - n + 1
+            if size <= 0:
+                continue
+            code, inside = np.zeros(size, np.uint64), np.ones(size, bool)
+            for k in range(n):
+                code = code * _STEP + chars[k:size + k]
+                if 0 < k < n - 1:
+                    inside &= ~space[k:size + k]
+            at = np.flatnonzero(inside)
+            yield _bucket(code[at] * salt), of[at]   # its second character, the one in front not counted
+
+
+def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text's features, and how many of them fall into each."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for ids, _ in features([text]):
+        counts += np.bincount(ids, minlength=BUCKETS)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], steps: int = STEPS, rate: float = RATE, seed: int = 1) -> np.ndarray:
+    """Per bucket its part in the logit of label 1 over label 0.  rows: buckets, counts and label of each text."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     output = np.zeros((WIDTH, 2), np.float32)
-    rows = []
-    for text, label in zip(texts, labels):
-        ids, counts = np.unique(features([_bytes(text)])[0], return_counts=True)
-        rows.append((ids.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
+    rows = [(ids, (counts / counts.sum()).astype(np.float32), label) for ids, counts, label in rows]
     done = 0
     epochs = -(-steps // len(rows)) if rows else 0
     steps = epochs * len(rows)
@@ -99,7 +114,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> n
     """Weights learned from at most `train_rows` labelled rows, chosen by a hash of the id.
 
     A document with several labels counts with the largest; null labels and
-    ids count as none.  Without labelled rows all weights are zero.
+    ids count as none.  Without labelled rows, as in empty tables, all weights
+    are zero.
     """
     chosen = (
         labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"), FOLDS))
@@ -107,16 +123,31 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> n
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     # Bounded by train_rows, so it can be broadcast and the texts are not shuffled.
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
-    found.sort(key=lambda r: r["doc_id"])
-    return fit([r["text"] for r in found], [int(r["quality"]) for r in found])
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    kind = found.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                pairs = [counted(_bytes(t)) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("quality").cast(pa.int32()),
+                     pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.int64()))],
+                    ["doc_id", "quality", "ids", "counts"])
+
+    # The driver gets numbers, at most one for each bucket, however long the texts are.
+    rows = found.mapInArrow(run, f"doc_id {kind}, quality int, ids array<int>, counts array<bigint>").toArrow().sort_by("doc_id")
+    return fit([(ids.values.to_numpy(), counts.values.to_numpy(), int(label.as_py())) for ids, counts, label in zip(
+        rows.column("ids"), rows.column("counts"), rows.column("quality"))])
 
 
 def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, score, predicted and the struct `carried`.
 
     Null and empty texts have only the end feature.  Repeated rows get equal
-    scores; columns outside `carry` are not read.
+    scores; columns outside `carry` are not read; an empty table gives no rows.
+    Texts are read in portions of half a megabyte, long ones cut before white
+    space, so that a long text takes little more than itself.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))   # one number per bucket: 1 MB
 
@@ -125,8 +156,11 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, ca
         for batch in batches:
             for rows in slices(batch):
                 texts = [_bytes(t) for t in rows.column("text").to_pylist()]
-                ids, of = features(texts)
-                p = 1 / (1 + np.exp(-np.bincount(of, w[ids], len(texts)) / np.bincount(of, minlength=len(texts))))
+                total, number = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+                for ids, of in features(texts):
+                    total += np.bincount(of, w[ids], len(texts))
+                    number += np.bincount(of, minlength=len(texts))
+                p = 1 / (1 + np.exp(-total / number))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("carried"), pa.array(p),
                      pa.array((p >= threshold).astype(np.int32))], ["doc_id", "carried", "score", "predicted"])

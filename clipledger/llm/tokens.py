@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ CHUNK_BYTES = 512 << 10   # bytes whose intermediate arrays are held at a time;
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+_CUT = re.compile(rb"(?<=[^\x20\x09-\x0D])[\x20\x09-\x0D]")
+
 _KEYS = ("words, lane zero", "words, lane one.")   # of 16 bytes, one for each lane
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -40,6 +43,20 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         yield first, len(texts)
 
 
+def segments(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Parts of texts with about `size` bytes, and the text each part is of; longer texts are cut before white space."""
+    for a, b in chunks(texts, size):
+        if b > a + 1 or len(texts[a]) <= size:
+            yield texts[a:b], np.arange(a, b)
+            continue
+        begin, text = 0, texts[a]
+        while begin < len(text):
+            found = _CUT.search(text, begin + size)
+            end = found.start() if found else len(text)
+            yield [text[begin:end]], np.array([a])
+            begin = end
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `size` bytes in `column`, so that little is held as Python values."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

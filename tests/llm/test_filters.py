@@ -1,13 +1,16 @@
 """Quality rules, line dedup and the classifier."""
 
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from brute import lower, same, words
 
+from clipledger.llm import quality_classifier, tokens
 from clipledger.llm.line_dedup import drop_common_lines
-from clipledger.llm.quality_classifier import classify, fit, score
+from clipledger.llm.quality_classifier import classify, counted, features, fit, score
 from clipledger.llm.quality_rules import apply_rules, cascade_order, default_rules
 
 
@@ -90,9 +93,76 @@ def test_classifier_edges(spark, docs, rows, none):
     assert len({r["score"] for r in found if not words(r["carried"]["text"])}) == 1
     assert classify(none, labels).count() == 0
     assert {r["score"] for r in classify(docs, labels.limit(0)).collect()} == {0.5}
-    assert score(docs, fit([], [])).count() == len(rows)
+    assert score(docs, fit([])).count() == len(rows)
 
 
 def test_empty_tables(none):
     assert apply_rules(none).count() == 0
     assert drop_common_lines(none).count() == 0
+
+
+def _hash(x):
+    """The bijection of 64-bit numbers, one number at a time."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 % 2**64
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def _plain_features(text):
+    """Words, repeats at 1 to 4 words, and windows of 3 and 4 characters whose inner characters are no white space."""
+    found = [0]
+    for w in words(text):
+        found.append(max(_hash(int(tokens.hash_array(np.array([w.encode()], object), hash_key=tokens._KEYS[0],
+                                                     categorize=False)[0])) >> 46, 5))
+    w = words(text)
+    found += [gap for gap in (1, 2, 3, 4) for i in range(gap, len(w)) if w[i] == w[i - gap]]
+    chars = [" ", *(" " if c in " \t\n\x0b\x0c\r" else c for c in text), " "]
+    for n, salt in ((3, 0xA24BAED4963EE407), (4, 0x9FB21C651E98DF25)):
+        for i in range(len(chars) - n + 1):
+            if " " not in chars[i + 1:i + n - 1]:
+                code = 0
+                for c in chars[i:i + n]:
+                    code = (code * 0xD1342543DE82EF95 + ord(c)) % 2**64
+                found.append(max(_hash(code * salt % 2**64) >> 46, 5))
+    return Counter(found)
+
+
+TEXTS = ["", " ", "a", "ab", "déjà vu 日本語  x\n😀 ab", "\n\nthe the\tof", "ends ", "é" * 9, "one two three " * 30,
+         "x x y x y y z x"]
+
+
+@pytest.mark.parametrize("size", [1, 20, 1 << 19])
+def test_features_of_characters(size, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "segments", lambda t: tokens.segments(t, size))
+    got = [Counter() for _ in TEXTS]
+    for ids, of in features([t.encode() for t in TEXTS]):
+        for i, t in zip(ids.tolist(), of.tolist()):
+            got[t][i] += 1
+    assert got == [_plain_features(t) for t in TEXTS]
+    assert [dict(zip(*map(np.ndarray.tolist, counted(t.encode())))) for t in TEXTS] == got
+
+
+def test_gradient_steps_by_hand():
+    """Five steps of the fit, one number at a time."""
+    rows = [(*counted(t.encode()), i % 2) for i, t in enumerate(TEXTS[2:7])]
+    rng = np.random.default_rng(4)
+    width, buckets = quality_classifier.WIDTH, quality_classifier.BUCKETS
+    vectors = rng.uniform(-1 / width, 1 / width, (buckets, width)).astype(np.float32).astype(float)
+    output = [[0.0, 0.0] for _ in range(width)]
+    for step, i in enumerate(rng.permutation(5)):
+        ids, counts, label = rows[i]
+        total, now = counts.sum(), 0.25 * (1 - step / 5)
+        mean = [sum(vectors[b][k] * c for b, c in zip(ids, counts)) / total for k in range(width)]
+        z = [math.exp(sum(mean[k] * output[k][y] for k in range(width))) for y in (0, 1)]
+        error = [z[y] / sum(z) - (y == label) for y in (0, 1)]
+        back = [sum(output[k][y] * error[y] for y in (0, 1)) for k in range(width)]
+        for k in range(width):
+            for y in (0, 1):
+                output[k][y] -= now * mean[k] * error[y]
+            for b, c in zip(ids, counts):
+                vectors[b][k] -= now * c / total * back[k]
+    want = vectors @ np.array([o[1] - o[0] for o in output])
+    assert np.allclose(fit(rows, steps=5, rate=0.25, seed=4), want, atol=1e-6)
+    assert np.abs(want).max() > 1e-4
