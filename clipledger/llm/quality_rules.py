@@ -1,16 +1,17 @@
 """Quality rules as a short-circuit cascade, ordered by rejection per cost.
 
-Each rule is a boolean expression over the text and the base measures.  On a
-bounded sample every rule is timed and its rejections counted; the cascade is
-one CASE over the rules from the highest rejection per second down, so a text
-that a cheap rule rejects never reaches the costly ones.  The order changes
-the time taken and the name of the reported rule, never the verdict.
+Each rule is a boolean expression over the text and the base measures, and
+costs the characters it reads.  On a sample of all files the cost and the
+rejections of every rule are taken among the texts that the rules before it
+leave; the cascade is one CASE over the rules, each the one with the most
+rejections per cost where it stands, so a text that a cheap rule rejects never
+reaches the costly ones.  The order changes the time taken and the name of the
+reported rule, never the verdict.
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from clipledger.llm.common import words
 from clipledger.session import stored
 
 WINDOW = 5            # words in a repeated window
-SAMPLE_ROWS = 500     # rows on which cost and selectivity are estimated
+SAMPLE_ROWS = 2_000   # rows on which cost and selectivity are estimated, about
 
 # The symbols of the contract.
 SYMBOLS = "#*$%&|<>"
@@ -27,10 +28,11 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """`rejects` is true for a text to reject; null counts as not rejecting."""
+    """`rejects` is true for a text to reject; null counts as not rejecting.  `reads`: characters it looks at."""
 
     name: str
     rejects: Column
+    reads: Column = field(default_factory=lambda: F.lit(0))
 
 
 def _hits(pattern: str) -> Column:
@@ -40,14 +42,14 @@ def _hits(pattern: str) -> Column:
 
 def default_rules() -> list[Rule]:
     """Thresholds as ratios of whole numbers, so that no rounding decides."""
-    n, chars = F.col("n_words"), F.col("word_chars")
+    n, chars, whole = F.col("n_words"), F.col("word_chars"), F.char_length("text")
     return [
         Rule("symbols", 10 * F.col("n_symbols") > n),
         Rule("repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.greatest("n_lines", F.lit(4))),
         Rule("word_length", (chars < 2 * n) | (chars > 20 * n)),
-        Rule("capitals", 10 * _hits(r"\p{Lu}") > 3 * chars),
-        Rule("exclamation", 10 * _hits("!?") > chars),
-        Rule("no_letters", 2 * _hits(r"\p{L}") < chars),
+        Rule("capitals", 10 * _hits(r"\p{Lu}") > 3 * chars, whole),
+        Rule("exclamation", 10 * _hits("!?") > chars, whole),
+        Rule("no_letters", 2 * _hits(r"\p{L}") < chars, whole),
     ]
 
 
@@ -83,36 +85,46 @@ def measures(docs: DataFrame) -> DataFrame:
         lambda after, here: F.least(after - here, F.lit(WINDOW)))
     covered = F.when(F.size("starts") > 0, F.aggregate(gaps, F.lit(WINDOW), lambda a, x: a + x)).otherwise(0)
     joined = F.array_join("ws", "")
-    return base.select(
-        "doc_id", "text", "n_lines", F.size("ws").cast("long").alias("n_words"),
-        F.char_length(joined).cast("long").alias("word_chars"),
+    measured = F.struct(
+        "n_lines", F.size("ws").cast("long").alias("n_words"), F.char_length(joined).cast("long").alias("word_chars"),
         F.char_length(F.regexp_replace(joined, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"))
+    # A generator of one row: a filter on a measure is not pushed through it, where it would repeat the work
+    # of every measure for each word.
+    return base.select("doc_id", "text", F.explode(F.array(measured)).alias("m")).select("doc_id", "text", "m.*")
 
 
-def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules from the most rejections per second down, as measured on the first `sample_rows` rows.
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
-    Those are taken from as few files as hold them; a limit inside a larger
-    plan would send so many rows of every task to one.
-    """
-    first = docs.select("doc_id", "text")
-    rows = first.head(sample_rows)
-    sample = stored(measures(docs.sparkSession.createDataFrame(rows, first.schema)), "rule-sample")
 
-    def timed(what: Column) -> tuple[float, float]:
-        begun = time.perf_counter()
-        share = sample.agg(F.avg(F.coalesce(what, F.lit(False)).cast("int"))).first()[0]
-        return time.perf_counter() - begun, share or 0.0
+def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules in turn, each with the most rejections per cost among the texts left by those before it; ties by name.
 
-    timed(F.lit(False))
-    idle = timed(F.lit(False))[0]
-    worth = {}
-    for rule in rules:
-        seconds, share = timed(rule.rejects)
-        worth[rule.name] = share / max(seconds - idle, 1e-3)
-    return sorted(rules, key=lambda r: (-worth[r.name], r.name))
+    About `sample_rows` rows of all files are chosen by their hash; texts that
+    fail the base never reach a rule and do not count.  The driver gets one row
+    for each set of rules that reject the same text.
+    """
+    share = max(docs.count() // sample_rows, 1)
+    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
+    flags = [F.coalesce(r.rejects, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
+    costs = [(1 + r.reads).cast("double").alias(f"c{i}") for i, r in enumerate(rules)]
+    # Stored, so that the measures are taken once for all rules.
+    measured = stored(measures(sample), "rule-sample").where(~_base_failed())
+    left = [(tuple(row[f"r{i}"] for i in range(len(rules))), row["n"], [row[f"c{i}"] for i in range(len(rules))])
+            for row in measured.select(*flags, *costs).groupBy(*[f"r{i}" for i in range(len(rules))])
+            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(rules))]).collect()]
+    ordered, waiting = [], list(range(len(rules)))
+    while waiting:
+        def worth(i: int) -> float:
+            return sum(n for r, n, _ in left if r[i]) / max(sum(c[i] for _, _, c in left), 1.0)
+
+        best = min(waiting, key=lambda i: (-worth(i), rules[i].name))
+        waiting.remove(best)
+        ordered.append(rules[best])
+        left = [x for x in left if not x[0][best]]
+    return ordered
 
 
 def apply_rules(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -125,7 +137,7 @@ def apply_rules(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: i
     """
     measured = measures(docs)
     ordered = cascade_order(docs, rules or default_rules(), sample_rows)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = _base_failed()
     verdict = F.when(failed, F.lit("base"))
     for rule in ordered:
         verdict = verdict.when(rule.rejects, F.lit(rule.name))

@@ -7,11 +7,12 @@ from collections import Counter
 import numpy as np
 import pytest
 from brute import lower, same, words
+from pyspark.sql import functions as F
 
 from clipledger.llm import quality_classifier, tokens
 from clipledger.llm.line_dedup import drop_common_lines
 from clipledger.llm.quality_classifier import classify, counted, features, fit, score
-from clipledger.llm.quality_rules import apply_rules, cascade_order, default_rules
+from clipledger.llm.quality_rules import Rule, apply_rules, cascade_order, default_rules
 
 
 def _measures(text):
@@ -40,6 +41,24 @@ def test_rule_order_changes_no_verdict(docs):
     assert {r.name for r in cascade_order(docs, rules)} == {r.name for r in rules}
 
 
+def test_cheap_and_selective_rules_go_first(spark):
+    """Cost and selectivity where a rule stands: what only repeats the rejections of a rule before it goes last."""
+    texts = [" ".join(f"w{i}_{k}" for k in range(12)) + (" ###" if i % 2 else "") + (" !!!" if i % 2 or i % 7 == 0 else "")
+             for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6)
+    read = F.char_length("text")
+    rules = [Rule("both, costly", F.col("text").contains("!!!"), read), Rule("hash, costly", F.col("text").contains("###"), read),
+             Rule("hash, cheap", F.col("n_symbols") > 0), Rule("never", F.lit(False)), Rule("null", F.lit(None).cast("boolean")),
+             Rule("short", F.col("n_words") < 10)]   # texts that fail the base are not seen by it
+    for _ in range(10):
+        assert [r.name for r in cascade_order(docs, rules)] == [
+            "hash, cheap", "both, costly", "hash, costly", "never", "null", "short"]
+    by = dict(apply_rules(docs, rules).groupBy("rejected_by").count().collect())
+    assert by == {"hash, cheap": 150, "both, costly": 22, None: 128}
+    few = [r.name for r in cascade_order(docs, rules, sample_rows=40)]
+    assert few[:2] == ["hash, cheap", "both, costly"]
+
+
 def test_rules_tell_junk_from_prose(spark):
     prose = "Some plain words of an ordinary sentence, that goes on for a while. "
     texts = [prose * 1 + " And then another one ends it here.", " ".join(f"word{i}###" for i in range(30)),
