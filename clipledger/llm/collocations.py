@@ -232,16 +232,16 @@ def collocations(docs: DataFrame, least: int = 10, inside_percent: int = 50, top
     longer = triples.select("a", "b", F.col("f").alias("longer")).unionByName(
         triples.select(F.col("b").alias("a"), F.col("c").alias("b"), F.col("f").alias("longer"))
     ).groupBy("a", "b").agg(F.max("longer").alias("longer"))
-    free = lookup_join(pairs, longer, ["a", "b"], "left").where(
-        F.coalesce(100 * F.col("longer") < inside_percent * F.col("f"), F.lit(True)))
+    # Stored step by step: one plan of all these joins would fill the driver.
+    free = stored(lookup_join(pairs, longer, ["a", "b"], "left").where(
+        F.coalesce(100 * F.col("longer") < inside_percent * F.col("f"), F.lit(True))), "free-pairs")
     two = with_words(with_words(free, "a"), "b").select(
         "lang", F.concat_ws(" ", "a_word", "b_word").alias("phrase"), F.col("f").alias("a"),
         F.col("a_f").alias("l"), F.col("b_f").alias("r"), cut_score(F.col("f"), F.col("a_f"), F.col("b_f")).alias("score"))
 
-    three = triples
+    three = stored(with_pair(with_pair(triples, "a", "b", "ab_f"), "b", "c", "bc_f"), "triples")
     for name in ("a", "b", "c"):
         three = with_words(three, name)
-    three = with_pair(with_pair(three, "a", "b", "ab_f"), "b", "c", "bc_f")
     first = cut_score(F.col("f"), F.col("a_f"), F.col("bc_f"))
     second = cut_score(F.col("f"), F.col("ab_f"), F.col("c_f"))
     three = three.withColumns({"first": first, "second": second})
@@ -251,7 +251,8 @@ def collocations(docs: DataFrame, least: int = 10, inside_percent: int = 50, top
         F.when(early, F.col("a_f")).otherwise(F.col("ab_f")).alias("l"),
         F.when(early, F.col("bc_f")).otherwise(F.col("c_f")).alias("r"), F.least("first", "second").alias("score"))
 
-    best = _first(_first(two.unionByName(three).withColumn("deal", _deal(docs)), top, "lang", "deal"), top, "lang")
+    scored = [_first(stored(x, "phrases").withColumn("deal", _deal(docs)), top, "lang", "deal") for x in (two, three)]
+    best = _first(scored[0].unionByName(scored[1]), top, "lang")
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
