@@ -117,19 +117,25 @@ def plain_path(path: str) -> str:
 
 
 def _named(entries: DataFrame, pattern: str) -> DataFrame:
-    """The files whose name fits a pattern of *, ? and [...]."""
-    inner = fnmatch.translate(pattern).removeprefix("(?s:").removesuffix(r")\z").removesuffix(r")\Z")
-    return entries.where(~F.col("is_folder") & basename("path").rlike(f"(?s)^{inner}$")).select("path", "length")
+    """The files whose name fits a pattern of *, ?, [...] and {a,b}."""
+    first = re.match(r"(.*?)\{([^{}]*)\}(.*)", pattern, re.DOTALL)
+    patterns = [first[1] + x + first[3] for x in first[2].split(",")] if first else [pattern]
+    inner = "|".join(fnmatch.translate(p).removesuffix(r"\z").removesuffix(r"\Z") for p in patterns)
+    return entries.where(~F.col("is_folder") & basename("path").rlike(f"^(?:{inner})$")).select("path", "length")
 
 
 def listing(spark: SparkSession, folder: str | list[str], pattern: str = "*.wav",
             recursive: bool = False) -> DataFrame:
     """(path, length) of the matching files; their content is never read.
 
-    Listed by tasks and stored, where Arrow can reach the folders; otherwise by
+    A folder may end in /* for all its subfolders.  Listed by tasks and stored,
+    where Arrow can reach the folders; otherwise, or by another pattern, by
     Spark's own file index, which holds all paths on the driver.
     """
     folders = [folder] if isinstance(folder, str) else folder
+    if len(folders) == 1 and folders[0].endswith("/*") and _reachable(folders[0][:-2]) and not recursive:
+        below = list(_levels(spark, [folders[0][:-2]], 2))[1:]
+        return _named(below[0], pattern) if below else spark.createDataFrame([], LISTING)
     if not all(map(_reachable, folders)):
         return _indexed(spark, folders, pattern, recursive)
     return reduce(DataFrame.unionByName, [
@@ -138,14 +144,14 @@ def listing(spark: SparkSession, folder: str | list[str], pattern: str = "*.wav"
 
 def _reachable(folder: str) -> bool:
     scheme = folder.partition(":")[0] if ":" in folder.partition("/")[0] else "file"
-    return scheme in _ARROW_SCHEMES
+    return scheme in _ARROW_SCHEMES and not re.search(r"[*?\[{]", folder)
 
 
 def _indexed(spark: SparkSession, folders: list[str], pattern: str, recursive: bool) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(folders).select("path", "length")
+    return reader.load(folders).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
 
 
 def clip_listing(spark: SparkSession, folder: str, pattern: str = "*.wav") -> DataFrame:
@@ -178,12 +184,8 @@ def output_listing(spark: SparkSession, fake_root: str, pattern: str = "*") -> D
     """(voice, filename) of the outputs in each voice's folder, of any extension."""
     if not subfolders(spark, fake_root):
         return spark.createDataFrame([], "voice string, filename string")
-    if _reachable(fake_root):
-        _, files = _levels(spark, [fake_root], 2)
-        files = _named(files, pattern)
-    else:
-        files = _indexed(spark, [f"{fake_root.rstrip('/')}/*"], pattern, False)
-    return files.select(parent_name("path").alias("voice"), basename("path").alias("filename"))
+    return listing(spark, f"{fake_root.rstrip('/')}/*", pattern).select(
+        parent_name("path").alias("voice"), basename("path").alias("filename"))
 
 
 def disk_inventory(spark: SparkSession, data_root: str) -> DataFrame:
