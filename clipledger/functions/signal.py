@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,10 +53,19 @@ _FEW_CHUNKS = 16   # chunks walked before the length of the content is looked at
 _PCM_SUBFORMAT = "0100000000001000800000AA00389B71"
 
 
-def _le(content: Column, at: Column, size: int) -> Column:
-    """Little-endian unsigned integer of `size` bytes at 0-based offset `at`."""
-    digits = [F.substring(F.hex(F.substring(content, (at + 1 + i).cast("int"), 1)), 1, 2) for i in range(size)]
-    return F.conv(F.concat(*reversed(digits)), 16, 10).try_cast("bigint")
+# Bytes from the start of a chunk that a step looks at: to the end of an extensible subformat.
+_CHUNK_HEAD = 48
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once a row, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _le(digits: Column, at: int, size: int) -> Column:
+    """Little-endian unsigned integer of `size` bytes at 0-based byte `at` of hexadecimal digits."""
+    pairs = [F.substring(digits, 2 * (at + i) + 1, 2) for i in range(size)]
+    return F.conv(F.concat(*reversed(pairs)), 16, 10).try_cast("bigint")
 
 
 def riff_seconds(content: Column) -> Column:
@@ -62,25 +73,38 @@ def riff_seconds(content: Column) -> Column:
 
     Chunks before the samples are stepped over, each padded to an even size;
     the format chunk has to come first, as plain or extensible PCM.  `content`
-    need not reach beyond the head of the data chunk.
+    need not reach beyond the head of the data chunk, and is computed once.
     """
-    def mark(at: Column, text: str) -> Column:
-        return F.hex(F.substring(content, (at + 1).cast("int"), 4)) == text.encode().hex().upper()
+    return _bound(content, _walked_seconds)
 
-    def walked(state: Column, _: Column) -> Column:
+
+def _walked_seconds(content: Column) -> Column:
+    length = F.octet_length(content)
+
+    def digits(at: Column, size: int) -> Column:
+        # Behind the end there is nothing, however far a broken size leads.
+        return F.hex(F.substring(content, F.least(at, length).cast("int") + 1, size))
+
+    def is_mark(head: Column, text: str) -> Column:
+        return F.substring(head, 1, 8) == text.encode().hex().upper()
+
+    def after(state: Column, head: Column, size: Column) -> Column:
         at = state["at"]
-        size = _le(content, at + 4, 4)
-        inside = at + 8 <= F.octet_length(content)
-        is_format, is_data = inside & mark(at, "fmt "), inside & mark(at, "data")
-        tag = _le(content, at + 8, 2)
+        inside = at + 8 <= length
+        is_format, is_data = inside & is_mark(head, "fmt "), inside & is_mark(head, "data")
         # Fixed value: the extensible tag, and the PCM subformat behind it.
-        extensible = (tag == 0xFFFE) & (F.hex(F.substring(content, (at + 33).cast("int"), 16)) == _PCM_SUBFORMAT)
-        frame = _le(content, at + 10, 2) * F.floor((_le(content, at + 22, 2) + 7) / 8)
-        return F.when(state["done"], state).otherwise(F.struct(
+        extensible = (_le(head, 8, 2) == 0xFFFE) & (F.substring(head, 65, 32) == _PCM_SUBFORMAT)
+        frame = _le(head, 10, 2) * F.floor((_le(head, 22, 2) + 7) / 8)
+        return F.struct(
             (at + 8 + size + size % 2).alias("at"), (~inside | is_data | size.isNull()).alias("done"),
-            F.when(is_format, _le(content, at + 12, 4)).otherwise(state["rate"]).alias("rate"),
-            F.when(is_format, F.when((tag == 1) | extensible, frame)).otherwise(state["frame"]).alias("frame"),
-            F.when(is_data, size).alias("data")))
+            F.when(is_format, _le(head, 12, 4)).otherwise(state["rate"]).alias("rate"),
+            F.when(is_format, F.when((_le(head, 8, 2) == 1) | extensible, frame)).otherwise(state["frame"]).alias("frame"),
+            F.when(is_data, size).alias("data"))
+
+    def walked(state: Column, _: Column) -> Column:
+        step = _bound(digits(state["at"], _CHUNK_HEAD), lambda head: _bound(
+            _le(head, 4, 4), lambda size: after(state, head, size)))
+        return F.when(state["done"], state).otherwise(step)
 
     long = "bigint"
     start = F.struct(F.lit(12).cast(long).alias("at"), F.lit(False).alias("done"), F.lit(None).cast(long).alias("rate"),
@@ -88,10 +112,11 @@ def riff_seconds(content: Column) -> Column:
     # The data chunk is among the first chunks of nearly every file.  A chunk has eight bytes at least, so no
     # file has more than the second number of steps; they are taken only where the first ones did not end.
     few = F.aggregate(F.sequence(F.lit(1), F.lit(_FEW_CHUNKS)), start, walked)
-    all_steps = F.sequence(F.lit(1), F.greatest(F.floor(F.octet_length(content) / 8).cast("int"), F.lit(1)))
-    end = F.when(few["done"], few).otherwise(F.aggregate(all_steps, few, walked))
-    seconds = F.try_divide(F.floor(F.try_divide(end["data"], end["frame"])), end["rate"])
-    riff = mark(F.lit(0), "RIFF") & mark(F.lit(8), "WAVE")
+    all_steps = F.sequence(F.lit(1), F.greatest(F.floor(length / 8).cast("int"), F.lit(1)))
+    end = _bound(few, lambda s: F.when(s["done"], s).otherwise(F.aggregate(all_steps, s, walked)))
+    seconds = _bound(end, lambda e: F.try_divide(F.floor(F.try_divide(e["data"], e["frame"])), e["rate"]))
+    head = F.hex(F.substring(content, 1, 12))
+    riff = is_mark(head, "RIFF") & (F.substring(head, 17, 8) == b"WAVE".hex().upper())
     return F.when(riff, seconds)
 
 

@@ -199,3 +199,19 @@ def test_riff_of_many_chunks(spark):
     bodies = [b"JUNK\0\0\0\0" * 100 + fmt + data, fmt + data + b"x" * 4_000_000, fmt + b"JUNK\0\0\0\0" * 40]
     got = mapped(spark, [b"RIFF\0\0\0\0WAVE" + b for b in bodies], lambda c: seconds_or_default(riff_seconds(c)), "binary")
     assert got == [3.0, 3.0, 10.7]
+
+
+def test_riff_content_is_computed_once(spark):
+    """The content may be a long expression; a step that names it a hundred times must not compute it as often."""
+    given = spark.createDataFrame([(header(32000).hex(),), ("zz",), (None,)], "digits string")
+    got = given.select(riff_seconds(F.unhex(F.lower("digits"))).alias("s"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unhex(") == 1 and plan.count("aggregate(") <= 3
+    assert [r["s"] for r in got.collect()] == [2.0, None, None]
+
+
+def test_riff_with_a_chunk_beyond_two_gigabytes(spark):
+    fmt = b"fmt " + struct.pack("<IHHIIHH", 16, 1, 2, 8000, 32000, 4, 16)
+    bodies = [fmt + b"LIST" + struct.pack("<I", 0xFFFFFFFF) + b"abc", fmt + b"data" + struct.pack("<I", 0xFFFFFFFC)]
+    got = mapped(spark, [b"RIFF\0\0\0\0WAVE" + b for b in bodies], riff_seconds, "binary")
+    assert got == [None, 0x3FFFFFFF / 8000]
