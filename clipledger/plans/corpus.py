@@ -65,10 +65,11 @@ class Extraction(NamedTuple):
     skipped: DataFrame           # members whose clip was there before
 
 
-def run_extraction(spark: SparkSession, archives: list[str], existing: DataFrame, wanted: int,
+def run_extraction(spark: SparkSession, archives: list[str] | DataFrame, existing: DataFrame, wanted: int,
                    convert: Callable[[DataFrame], DataFrame]) -> Extraction:
     """Extract the clips among archive members until `wanted` are extracted, in archive order.
 
+    archives: their paths, or a listing with `path` if there are many.
     existing: filename of the clips extracted before.  `convert` gets archive,
     seq, member, wav_name and content, and adds `error`.  Names are listed
     without payloads, once; then only payloads of members still wanted are

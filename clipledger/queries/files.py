@@ -133,7 +133,7 @@ def extract_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.table({"archive": [name]})
 
     rows.groupBy("archive").applyInArrow(write, "archive string").agg(F.count(F.lit(1))).collect()
-    archives = sorted(r["path"] for r in listing(spark, root, "*.tar.gz").select("path").collect())
+    archives = listing(spark, root, "*.tar.gz")
     existing = table(spark, sf_dir, "labels").select(doc_name("doc_id").alias("filename"))
     short = F.when(F.octet_length("content") < 400, "too short")
     done = run_extraction(spark, archives, existing, docs.count() // 3, lambda df: df.withColumn("error", short))

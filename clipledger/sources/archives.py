@@ -22,9 +22,9 @@ _LAST = (1 << 63) - 1
 _SCHEMA = "archive string, member string, seq bigint, is_file boolean, content binary"
 
 
-class _Archive(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+class _Archives(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class _TarReader(DataSourceReader):
@@ -33,6 +33,7 @@ class _TarReader(DataSourceReader):
         self.suffix = options.get("suffix", "")
         self.content = options.get("content", "true") == "true"
         self.default = options.get("default", "file:///")
+        self.tasks = int(options.get("tasks", len(self.paths)))
         self.first, self.last = 0, _LAST   # wanted places in an archive
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
@@ -55,20 +56,23 @@ class _TarReader(DataSourceReader):
                     self.suffix = value
                 yield f
 
-    def partitions(self) -> list[_Archive]:
-        # A gzip stream cannot be entered midway: one task per archive.
-        return [_Archive(p) for p in self.paths]
+    def partitions(self) -> list[_Archives]:
+        # A gzip stream cannot be entered midway, so an archive belongs to one task; a task has many if there are many.
+        return [_Archives(self.paths[k::self.tasks]) for k in range(min(self.tasks, len(self.paths)))]
 
-    def read(self, partition: _Archive | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:   # no archive is left
-            return
+    def read(self, partition: _Archives | None) -> Iterator[pa.RecordBatch]:
+        # Without a partition no archive is left.
+        return self.batches(partition.paths if partition else [])
+
+    def batches(self, archives: Iterable[str]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for row in self._members(partition.path):
-            held.append(row)
-            size += len(row[4] or b"")
-            if size >= _BATCH_BYTES or len(held) >= _BATCH_ROWS:
-                yield _batch(held)
-                held, size = [], 0
+        for archive in archives:
+            for row in self._members(archive):
+                held.append(row)
+                size += len(row[4] or b"")
+                if size >= _BATCH_BYTES or len(held) >= _BATCH_ROWS:
+                    yield _batch(held)
+                    held, size = [], 0
         if held:
             yield _batch(held)
 
@@ -133,18 +137,31 @@ class TarMembers(DataSource):
         return _TarReader(self.options)
 
 
-def archive_members(spark: SparkSession, archives: list[str], suffix: str = "",
+def _tasks(spark: SparkSession) -> int:
+    """Tasks that archives are dealt to: enough to keep all cores busy, however many archives there are."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def archive_members(spark: SparkSession, archives: list[str] | DataFrame, suffix: str = "",
                     content: bool = True) -> DataFrame:
     """Every member of the archives; payloads only of files ending in `suffix`.
 
-    Archives are read one per task, so spread the rows before heavy work.
-    Filters on archive and seq prune the scan.
+    An archive is read by one task, so spread the rows before heavy work.  Of a
+    list, filters on archive and seq prune the scan.  A table names archives by
+    `path`; none of them goes to the driver, so there may be any number.
     """
+    options = {"suffix": suffix, "content": str(content).lower(), "default": default_file_system(spark)}
+    if isinstance(archives, DataFrame):
+        reader = _TarReader({"paths": "", **options})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return reader.batches(path for batch in batches for path in batch.column(0).to_pylist())
+
+        return archives.select("path").repartition(_tasks(spark)).mapInArrow(run, _SCHEMA)
     spark.dataSource.register(TarMembers)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("tar_members").options(
-        paths="\n".join(archives), suffix=suffix, content=str(content).lower(),
-        default=default_file_system(spark)).load()
+        paths="\n".join(archives), tasks=str(_tasks(spark)), **options).load()
 
 
 def with_payloads(wanted: DataFrame) -> DataFrame:
@@ -175,7 +192,8 @@ def with_payloads(wanted: DataFrame) -> DataFrame:
         if held:
             yield _with_content(rows, held)
 
-    return wanted.groupBy("archive").applyInArrow(read, schema)
+    # The rows are small whatever the archives hold, so their size must not decide on the number of tasks.
+    return wanted.repartition(_tasks(wanted.sparkSession), "archive").groupBy("archive").applyInArrow(read, schema)
 
 
 def _with_content(rows: pa.Table, held: list[tuple[int, bytes | None]]) -> pa.RecordBatch:

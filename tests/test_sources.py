@@ -9,6 +9,7 @@ import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
+from clipledger.plans.corpus import run_extraction
 from clipledger.schema import ENGINES, LEDGER, MANIFEST_FIELDS
 from clipledger.sources.archives import archive_members, with_payloads
 from clipledger.sources.folders import (
@@ -234,6 +235,52 @@ def test_wanted_payloads_alone(spark, tmp_path):
     assert with_payloads(wanted.limit(0)).count() == 0
 
 
+def test_many_archives_share_tasks(spark, tmp_path):
+    """The number of tasks does not grow with the number of archives, given as a list or as a table."""
+    for i in range(90):
+        tar(tmp_path / f"{i:02d}.tar.gz", [("cv/clips/x.tsv", b"t"), (f"cv/clips/{i}.mp3", b"%d" % i)])
+    found = listing(spark, str(tmp_path), "*.tar.gz")
+    paths = [r["path"] for r in found.collect()]
+    tasks = max(4, 4 * spark.sparkContext.defaultParallelism)
+    want = sorted((p, m, k, True, c) for p in paths for i in [int(p[-9:-7])] for m, k, c in (
+        ("cv/clips/x.tsv", 0, None), (f"cv/clips/{i}.mp3", 1, bytearray(b"%d" % i))))
+    for given in (paths, found):
+        got = archive_members(spark, given, ".mp3")
+        assert len(paths) == 90 and got.rdd.getNumPartitions() <= tasks
+        assert sorted(map(tuple, got.collect())) == want
+    assert archive_members(spark, found, content=False).where("content is not null").count() == 0
+    assert archive_members(spark, found.limit(0)).count() == 0
+    assert archive_members(spark, paths).where(F.col("archive") == paths[70]).count() == 2
+
+
+def test_payload_tasks_do_not_follow_the_size_of_the_names(spark, tmp_path):
+    for i in range(8):
+        tar(tmp_path / f"{i}.tar.gz", [("cv/clips/x.mp3", b"%d" % i)])
+    wanted = archive_members(spark, listing(spark, str(tmp_path), "*.tar.gz"), content=False).drop("content")
+    got = with_payloads(wanted)
+    assert rows(got, "content") == [(bytearray(b"%d" % i),) for i in range(8)]
+    # Without a number of its own the exchange is joined to one part where tables are small.
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extraction_from_a_listing(spark, tmp_path):
+    for i in range(30):
+        tar(tmp_path / f"{i:02d}.tar.gz", [(f"cv/clips/{i}_{k}.mp3", b"x" * k) for k in range(4)])
+    found = listing(spark, str(tmp_path), "*.tar.gz")
+    there = spark.createDataFrame([("0_1.wav",), ("29_3.wav",)], "filename string")
+
+    def convert(df):
+        return df.withColumn("error", F.when(F.octet_length("content") < 1, "empty"))
+
+    order = sorted(r["path"] for r in found.collect())
+    want = [(p, k, "empty" if k == 0 else None) for i, p in enumerate(order) for k in range(4) if (i, k) != (0, 1)][:27]
+    assert sum(e is None for _, _, e in want) == 20
+    for given in (order, found):
+        done = run_extraction(spark, given, there, 20, convert)
+        assert rows(done.outcomes, "archive", "seq", "error") == sorted(want, key=lambda r: [(c is None, str(c)) for c in r])
+        assert rows(done.skipped, "wav_name") == [("0_1.wav",), ("29_3.wav",)]
+
+
 def test_deep_listing(spark, tmp_path):
     names = [f"{a}/{b}/x {i}é#%.wav" for a in "abc" for b in ("1", "2 2") for i in range(3)] + ["top.wav", "a/_no/y.wav", "a/.z.wav"]
     put(tmp_path, *names, "b/n.txt", "b/1/deep/er/w.wav")
