@@ -2,6 +2,8 @@
 
 import math
 import random
+import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -185,3 +187,30 @@ def test_gradient_steps_by_hand():
     want = vectors @ np.array([o[1] - o[0] for o in output])
     assert np.allclose(fit(rows, steps=5, rate=0.25, seed=4), want, atol=1e-6)
     assert np.abs(want).max() > 1e-4
+
+
+def test_the_driver_gets_packed_features(spark, monkeypatch):
+    """What training sends to the driver takes a few bytes a feature, and is all of it."""
+    rng = random.Random(5)
+    texts = {i: " ".join(f"w{rng.randrange(500)}" for _ in range(400)) for i in range(30)} | {30: "", 31: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id bigint, quality int")
+    sent, given = [], []
+    to_arrow = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: sent.append(to_arrow(self)) or sent[-1])
+    monkeypatch.setattr(quality_classifier, "fit", lambda rows: given.extend(rows) or fit(rows, steps=1))
+    quality_classifier.train(docs, labels)
+    learned = [i for i in sorted(texts) if zlib.crc32(str(i).encode()) % quality_classifier.FOLDS]
+    want = [counted((texts[i] or "").encode()) for i in learned]
+    assert [(ids.tolist(), counts.tolist(), label) for ids, counts, label in given] == [
+        (ids.tolist(), counts.tolist(), i % 2) for i, (ids, counts) in zip(learned, want)]
+    assert sent[0].nbytes < 4 * sum(len(ids) for ids, _ in want)
+
+
+def test_the_fit_holds_its_vectors_once():
+    """The vectors begin as the doubles of one draw, and those are never held whole."""
+    tracemalloc.start()
+    fit([(*counted(b"a b"), 1)], steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * 4 * quality_classifier.BUCKETS * quality_classifier.WIDTH
